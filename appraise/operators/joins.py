@@ -28,9 +28,10 @@ def between_months(df: DataFrame, start: str, end: str, month_col: str = "month"
     )
 
 
-def first_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
-    """The first row per key under an explicit order column."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).asc_nulls_last())
+def first_per_key(df: DataFrame, keys: list[str], order_col: str | list[str]) -> DataFrame:
+    """The first row per key under explicit order column(s)."""
+    cols = [order_col] if isinstance(order_col, str) else list(order_col)
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in cols])
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 

@@ -293,9 +293,23 @@ def q_test_mean_price(spark, sf):
     )
 
 
+_LOADED = False
+
+
+def _load_all() -> None:
+    """Import the query modules (each registers its queries on import)."""
+    global _LOADED
+    if not _LOADED:
+        from appraise.plans import q_backtest, q_quality, q_spatial  # noqa: F401
+
+        _LOADED = True
+
+
 def queries() -> dict[str, QueryFn]:
+    _load_all()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load_all()
     return dict(ORACLE)
