@@ -157,3 +157,17 @@ def attach_latest(df: DataFrame, series: DataFrame, measures: list[str] | None =
     if row is None:
         return df.withColumns({m: F.lit(None).cast("double") for m in measures})
     return df.withColumns({m: F.lit(row[m]) for m in measures})
+
+
+def impute_unseen_in_split(df: DataFrame, col: str, fallback: str, split_col: str = "split",
+                           train_value: str = "train", test_value: str = "test") -> DataFrame:
+    """C8 on a frame holding both splits: test values unseen in train (or null) -> fallback."""
+    seen = (
+        df.filter(F.col(split_col) == train_value).select(col).filter(F.col(col).isNotNull())
+        .distinct().withColumn("_seen", F.lit(True))
+    )
+    out = df.join(seen, col, "left")
+    return out.withColumn(
+        col,
+        F.when((F.col(split_col) == test_value) & F.col("_seen").isNull(), F.lit(fallback)).otherwise(F.col(col)),
+    ).drop("_seen")
