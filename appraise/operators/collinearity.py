@@ -28,27 +28,67 @@ def null_free_columns(df: DataFrame, cols: list[str]) -> list[str]:
     return [c for i, c in enumerate(cols) if row[f"_n{i}"] == 0]
 
 
+def pearson_pairs(df: DataFrame, cols: list[str]) -> list[tuple[str, str, float | None]]:
+    """Pearson r of every column pair, pairwise-complete (NaN counts as missing).
+
+    Two aggregate passes of plain sums (codegen-friendly; ``corr`` with
+    dozens of pairs in one aggregate is several times slower): means and
+    null counts, then centred cross sums. Pairs of null-free columns share
+    the per-column sums; pairs touching a column with nulls get masked sums.
+    """
+    x = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"_x{i}")
+                    for i, c in enumerate(cols)])
+    r1 = x.agg(*[F.avg(f"_x{i}").alias(f"_m{i}") for i in range(len(cols))],
+               *[F.count_if(F.col(f"_x{i}").isNull()).alias(f"_z{i}") for i in range(len(cols))],
+               F.count(F.lit(1)).alias("_n")).first()
+    means = [r1[f"_m{i}"] if r1[f"_m{i}"] is not None else 0.0 for i in range(len(cols))]
+    nullable = {i for i in range(len(cols)) if r1[f"_z{i}"]}
+    cx = [F.col(f"_x{i}") - F.lit(float(means[i])) for i in range(len(cols))]
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    aggs = []
+    for i in range(len(cols)):
+        aggs += [F.sum(cx[i]).alias(f"_s{i}"), F.sum(cx[i] * cx[i]).alias(f"_q{i}")]
+    for i, j in pairs:
+        if i in nullable or j in nullable:
+            both = cx[i].isNotNull() & cx[j].isNotNull()
+            aggs += [F.count_if(both).alias(f"_n{i}_{j}"),
+                     F.sum(F.when(both, cx[i])).alias(f"_si{i}_{j}"), F.sum(F.when(both, cx[j])).alias(f"_sj{i}_{j}"),
+                     F.sum(F.when(both, cx[i] * cx[i])).alias(f"_qi{i}_{j}"),
+                     F.sum(F.when(both, cx[j] * cx[j])).alias(f"_qj{i}_{j}")]
+        aggs.append(F.sum(cx[i] * cx[j]).alias(f"_c{i}_{j}"))
+    r2 = x.agg(*aggs).first() if aggs else None
+    out = []
+    n_all = r1["_n"]
+    for i, j in pairs:
+        if i in nullable or j in nullable:
+            n, si, sj = r2[f"_n{i}_{j}"], r2[f"_si{i}_{j}"] or 0.0, r2[f"_sj{i}_{j}"] or 0.0
+            qi, qj = r2[f"_qi{i}_{j}"] or 0.0, r2[f"_qj{i}_{j}"] or 0.0
+        else:
+            n, si, sj, qi, qj = n_all, r2[f"_s{i}"] or 0.0, r2[f"_s{j}"] or 0.0, r2[f"_q{i}"] or 0.0, r2[f"_q{j}"] or 0.0
+        cij = r2[f"_c{i}_{j}"] or 0.0
+        if not n or n < 2:
+            out.append((cols[i], cols[j], None))
+            continue
+        cov = cij - si * sj / n
+        vi, vj = qi - si * si / n, qj - sj * sj / n
+        r = cov / math.sqrt(vi * vj) if vi > 0 and vj > 0 else None
+        out.append((cols[i], cols[j], r))
+    return out
+
+
 def correlation_screen(df: DataFrame, cols: list[str] | None = None, threshold: float = 0.85,
                        protected: list[str] | None = None) -> DataFrame:
-    """(feature_a, feature_b, pearson_r, both_unprotected), |r| >= threshold, sorted desc."""
+    """(feature_a, feature_b, pearson_r, both_unprotected), |r| >= threshold, sorted desc.
+
+    A report only: nothing is dropped. The p(p-1)/2 pair results are tiny.
+    """
     cols = cols or numeric_columns(df)
     prot = set(protected or [])
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, pearson_r double, both_unprotected boolean")
-    row = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).agg(
-        *[F.corr(a, b).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)]
-    )
-    long = row.select(F.explode(F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.abs(F.col(f"_r{i}")).alias("r"),
-                 F.lit(a not in prot and b not in prot).alias("both_unprotected"))
-        for i, (a, b) in enumerate(pairs)
-    ])).alias("_p")).select("_p.*")
-    return (
-        long.filter(F.col("r") >= F.lit(threshold))
-        .select("feature_a", "feature_b", F.round("r", 4).alias("pearson_r"), "both_unprotected")
-        .orderBy(F.col("pearson_r").desc(), "feature_a", "feature_b")
-    )
+    rows = [(a, b, round(abs(r), 4), a not in prot and b not in prot)
+            for a, b, r in pearson_pairs(df, cols) if r is not None and abs(r) >= threshold]
+    return df.sparkSession.createDataFrame(
+        rows, "feature_a string, feature_b string, pearson_r double, both_unprotected boolean"
+    ).orderBy(F.col("pearson_r").desc(), "feature_a", "feature_b")
 
 
 @dataclass

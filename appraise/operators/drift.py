@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from appraise.operators.ranking import running_totals
+from appraise.operators.ranking import count_le, running_totals
 
 PSI_EPS = 1e-4
 
@@ -101,9 +101,7 @@ def psi_by_feature(long: DataFrame, bins: int = 10, eps: float = PSI_EPS) -> Dat
     inner = F.array(*[F.lit(float(i)) * step + F.col("mn") for i in range(1, bins)])
     edges = stats.select("feature", inner.alias("_edges"), "N1", "N2")
     # one row per feature: bounded by the number of columns
-    binned = long.join(F.broadcast(edges), "feature").withColumn(
-        "bin", F.size(F.filter("_edges", lambda e: e <= F.col("value")))
-    )
+    binned = long.join(F.broadcast(edges), "feature").withColumn("bin", count_le("_edges", "value", bins - 1))
     counts = binned.groupBy("feature", "bin").agg(
         F.count_if(~F.col("is_test")).alias("c_train"), F.count_if(F.col("is_test")).alias("c_test")
     )

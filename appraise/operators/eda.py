@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from appraise.operators.ranking import exact_quantiles, running_totals
+from appraise.operators.ranking import count_le, exact_quantiles, running_totals
 
 
 def grouped_exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: list[float],
@@ -59,8 +59,7 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
     edges = st.select("mn", "mx", inner.alias("_edges"), step.alias("_step"))
     # a one-row frame of edges, joined on a constant key (no cross product)
     d = df.filter(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("_v"), F.lit(1).alias("_k"))
-    b = d.join(F.broadcast(edges.withColumn("_k", F.lit(1))), "_k").withColumn(
-        "bin", F.size(F.filter("_edges", lambda e: e <= F.col("_v"))))
+    b = d.join(F.broadcast(edges.withColumn("_k", F.lit(1))), "_k").withColumn("bin", count_le("_edges", "_v", bins - 1))
     counts = b.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     grid = edges.select("mn", "_step", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return grid.join(counts, "bin", "left").select(

@@ -12,12 +12,23 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 64
 
 
+def count_le(edges_col: str, value_col: str, n_edges: int) -> Column:
+    """Number of the ``n_edges`` array elements <= value (plain comparisons, codegen-friendly)."""
+    v = F.col(value_col)
+    e = F.col(edges_col)
+    terms = [F.when(e.getItem(i) <= v, F.lit(1)).otherwise(F.lit(0)) for i in range(n_edges)]
+    total = F.lit(0)
+    for t in terms:
+        total = total + t
+    return total
+
+
 def _edge_probs(buckets: int) -> list[float]:
     return [i / buckets for i in range(1, buckets)]
 
@@ -45,9 +56,7 @@ def running_totals(
         row = vc.agg(F.percentile_approx(value_col, probs, 1000).alias("_edges")).first()
         arr = row["_edges"] if row and row["_edges"] is not None else []
         b = vc.withColumn("_edges", F.array(*[F.lit(float(e)) for e in arr]) if arr else F.array().cast("array<double>"))
-    b = b.withColumn(
-        "_bucket", F.size(F.filter("_edges", lambda e: e <= F.col(value_col)))
-    ).drop("_edges")
+    b = b.withColumn("_bucket", count_le("_edges", value_col, buckets - 1)).drop("_edges")
 
     totals = b.groupBy(*group_cols, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in count_cols])
     w_off = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
