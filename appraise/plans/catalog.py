@@ -300,7 +300,7 @@ def _load_all() -> None:
     """Import the query modules (each registers its queries on import)."""
     global _LOADED
     if not _LOADED:
-        from appraise.plans import q_backtest, q_models, q_quality, q_spatial  # noqa: F401
+        from appraise.plans import q_backtest, q_models, q_quality, q_sources, q_spatial  # noqa: F401
 
         _LOADED = True
 
