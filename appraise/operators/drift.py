@@ -62,16 +62,26 @@ def kolmogorov_sf(lam: Column) -> Column:
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), q))
 
 
-def ks_by_feature(long: DataFrame) -> DataFrame:
-    """(feature, ks_stat, ks_p, n_train, n_test) from the unpivoted samples.
+def value_counts(long: DataFrame) -> DataFrame:
+    """(feature, value, n_train, n_test): the only pass over the unpivoted rows.
 
-    p-value: asymptotic with the Stephens correction
-    lambda = (sqrt(en) + 0.12 + 0.11 / sqrt(en)) * D, en = n1 n2 / (n1 + n2).
+    Both KS and PSI are computed from this table, which is checkpointed to the
+    shared folder: it is read several times (edges, offsets, bins) and is at
+    most as large as the input, usually far smaller (distinct values only).
     """
     vc = long.groupBy("feature", "value").agg(
         F.count_if(~F.col("is_test")).alias("n_train"),
         F.count_if(F.col("is_test")).alias("n_test"),
     )
+    return vc.checkpoint(eager=True)
+
+
+def ks_from_counts(vc: DataFrame) -> DataFrame:
+    """(feature, ks_stat, ks_p, n_train, n_test) from per-value counts.
+
+    p-value: asymptotic with the Stephens correction
+    lambda = (sqrt(en) + 0.12 + 0.11 / sqrt(en)) * D, en = n1 n2 / (n1 + n2).
+    """
     totals = vc.groupBy("feature").agg(F.sum("n_train").alias("N1"), F.sum("n_test").alias("N2"))
     cum = running_totals(vc, ["feature"], "value", ["n_train", "n_test"])
     # one row per feature: bounded by the number of columns
@@ -91,20 +101,18 @@ def ks_by_feature(long: DataFrame) -> DataFrame:
     )
 
 
-def psi_by_feature(long: DataFrame, bins: int = 10, eps: float = PSI_EPS) -> DataFrame:
-    """Population stability index per feature (test vs train)."""
-    stats = long.groupBy("feature").agg(
+def psi_from_counts(vc: DataFrame, bins: int = 10, eps: float = PSI_EPS) -> DataFrame:
+    """Population stability index per feature (test vs train) from per-value counts."""
+    stats = vc.groupBy("feature").agg(
         F.min("value").alias("mn"), F.max("value").alias("mx"),
-        F.count_if(~F.col("is_test")).alias("N1"), F.count_if(F.col("is_test")).alias("N2"),
+        F.sum("n_train").alias("N1"), F.sum("n_test").alias("N2"),
     )
     step = (F.col("mx") - F.col("mn")) / F.lit(float(bins))
     inner = F.array(*[F.lit(float(i)) * step + F.col("mn") for i in range(1, bins)])
     edges = stats.select("feature", inner.alias("_edges"), "N1", "N2")
     # one row per feature: bounded by the number of columns
-    binned = long.join(F.broadcast(edges), "feature").withColumn("bin", count_le("_edges", "value", bins - 1))
-    counts = binned.groupBy("feature", "bin").agg(
-        F.count_if(~F.col("is_test")).alias("c_train"), F.count_if(F.col("is_test")).alias("c_test")
-    )
+    binned = vc.join(F.broadcast(edges), "feature").withColumn("bin", count_le("_edges", "value", bins - 1))
+    counts = binned.groupBy("feature", "bin").agg(F.sum("n_train").alias("c_train"), F.sum("n_test").alias("c_test"))
     grid = edges.select("feature", "N1", "N2", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     full = grid.join(counts, ["feature", "bin"], "left").fillna(0, ["c_train", "c_test"])
     e = F.when(F.col("c_train") == 0, F.lit(eps)).otherwise(F.col("c_train") / F.col("N1"))
@@ -114,13 +122,23 @@ def psi_by_feature(long: DataFrame, bins: int = 10, eps: float = PSI_EPS) -> Dat
     )
 
 
+def ks_by_feature(long: DataFrame) -> DataFrame:
+    """D8 from the unpivoted samples."""
+    return ks_from_counts(value_counts(long))
+
+
+def psi_by_feature(long: DataFrame, bins: int = 10, eps: float = PSI_EPS) -> DataFrame:
+    """D9 from the unpivoted samples."""
+    return psi_from_counts(value_counts(long), bins, eps)
+
+
 def drift_report(train: DataFrame, test: DataFrame, cols: list[str] | None = None,
                  psi_threshold: float = 0.2) -> DataFrame:
     """(feature, ks_stat, ks_p, psi, flagged); flagged when psi > threshold (strict)."""
     cols = cols or numeric_columns(train)
-    long = unpivot_samples(train, test, cols)
-    ks = ks_by_feature(long)
-    psi = psi_by_feature(long)
+    vc = value_counts(unpivot_samples(train, test, cols))
+    ks = ks_from_counts(vc)
+    psi = psi_from_counts(vc)
     return ks.join(psi, "feature").select(
         "feature", "ks_stat", "ks_p", "psi", (F.col("psi") > F.lit(psi_threshold)).alias("flagged")
     )

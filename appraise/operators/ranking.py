@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,7 +82,14 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], buckets: int =
     """
     vc = df.select(F.col(col).alias("_v")).filter(F.col("_v").isNotNull()).groupBy("_v").agg(
         F.count(F.lit(1)).alias("_n")
-    )
+    ).persist(StorageLevel.MEMORY_AND_DISK)  # read three times below; released before returning
+    try:
+        return _quantiles_from_counts(vc, probs, buckets)
+    finally:
+        vc.unpersist()
+
+
+def _quantiles_from_counts(vc: DataFrame, probs: list[float], buckets: int) -> list[float | None]:
     ranked = running_totals(vc, [], "_v", ["_n"], buckets)
     n_row = vc.agg(F.sum("_n").alias("n")).first()
     n = int(n_row["n"] or 0) if n_row else 0
