@@ -42,10 +42,18 @@ def split_tx(spark: SparkSession, sf: str) -> DataFrame:
     return J.split_by_cutoff(T.transactions(spark, sf), CUTOFF + "-01")
 
 
+def train_test(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the month split, each filtered at the orders scan (pushed down)."""
+    cut = CUTOFF + "-01"
+    train = T.transactions(spark, sf, until=cut).withColumn("split", F.lit("train"))
+    test = T.transactions(spark, sf, since=cut).withColumn("split", F.lit("test"))
+    return train, test
+
+
 def naive_predictions(spark: SparkSession, sf: str, key: str = "town") -> DataFrame:
     """Test rows with the group-mean prediction fitted on the train rows."""
-    s = split_tx(spark, sf)
-    return E.group_mean_model(s.filter("split = 'train'"), s.filter("split = 'test'"), key)
+    train, test = train_test(spark, sf)
+    return E.group_mean_model(train, test, key)
 
 
 # ---------------------------------------------------------------- H: scalar functions
@@ -262,9 +270,8 @@ nf AS (SELECT t.tx_id, t.resale_price, coalesce(ftm.m, g.m) AS prediction
 def q_metrics_by_model(spark, sf):
     from appraise.operators.sets import union_by_name
 
-    s = split_tx(spark, sf)
-    train, test = s.filter("split = 'train'"), s.filter("split = 'test'").select("tx_id", "town", "flat_type",
-                                                                                  "resale_price")
+    train, test = train_test(spark, sf)
+    test = test.select("tx_id", "town", "flat_type", "resale_price")
     pt = E.group_mean_model(train, test, "town", out="p_town")
     pf = E.group_mean_model(train, test.select("tx_id", "flat_type"), "flat_type", out="p_flat")
     both = pt.join(pf.select("tx_id", "p_flat"), "tx_id")
