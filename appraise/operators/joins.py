@@ -29,10 +29,16 @@ def between_months(df: DataFrame, start: str, end: str, month_col: str = "month"
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_col: str | list[str]) -> DataFrame:
-    """The first row per key under explicit order column(s)."""
+    """The first row per key under explicit order column(s) (nulls last).
+
+    An aggregate (``min_by`` over the whole row), not a window: partial
+    aggregation on the map side keeps a key that holds a third of the rows
+    from landing in one task.
+    """
     cols = [order_col] if isinstance(order_col, str) else list(order_col)
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in cols])
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    order = F.struct(*[x for c in cols for x in (F.col(c).isNull().alias(f"_n{c}"), F.col(c).alias(f"_v{c}"))])
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return df.groupBy(*keys).agg(F.min_by(row, order).alias("_r")).select("_r.*")
 
 
 def latest_row(df: DataFrame, order_col: str = "month") -> DataFrame:

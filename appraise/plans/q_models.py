@@ -107,3 +107,28 @@ def q_actual_vs_predicted(spark, sf):
     ens, _ = _ensemble(spark, sf)
     scored = ens.predict(_frame(spark, sf).filter("split = 'test'"))
     return M.actual_vs_predicted(scored, TARGET, 0.1, 42)
+
+
+@register("stream_scored_requests")
+def q_stream_scored_requests(spark, sf):
+    """K1 + K2 + A8: request files -> stream (availableNow) -> contract -> score, with the
+    model resolved through the 'latest' pointer at each micro-batch."""
+    import uuid
+
+    from appraise.streaming.scoring import start_scoring_stream, write_pointer
+
+    ens, _ = _ensemble(spark, sf)
+    run = scratch_path(spark, f"stream-{uuid.uuid4().hex[:8]}")
+    latest = T.monthly_series(spark, sf).orderBy(F.col("month").desc()).first()
+    M.save_bundle(spark, ens, f"{run}/model", {"run_date": "2001-09-01",
+                                               "latest_series": {k: latest[k] for k in T.SERIES_MEASURES}})
+    write_pointer(spark, f"{run}/latest", f"{run}/model", f"{run}/reports", "2001-09-01", {})
+    tx = T.transactions(spark, sf, since=FeatureConfig().cutoff + "-01")
+    req = tx.select(F.col("tx_id").alias("request_id"), "town", "flat_type", "storey_range", "floor_area_sqm",
+                    "flat_model", "lease_commence_date", "remaining_lease", "block", "street_name",
+                    F.date_format("month", "yyyy-MM").alias("transaction_month"))
+    req.write.mode("overwrite").json(f"{run}/inbox")
+    q = start_scoring_stream(spark, f"{run}/inbox", f"{run}/out", f"{run}/checkpoint", f"{run}/latest",
+                             as_of="2001-09-01", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{run}/out/scored").select("request_id", "price", "currency", "model_run_date")
