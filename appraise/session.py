@@ -53,7 +53,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     master is local, a scratch folder is created (tests only); on a cluster an
     unset value is an error, because a local folder is not shared.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote session manages its own checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current
