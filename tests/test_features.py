@@ -125,3 +125,10 @@ def test_first_per_key(spark):
     df = spark.createDataFrame([("k", 2, "b"), ("k", 1, "a"), ("j", 5, "c")], "k string, o int, v string")
     out = {r.k: r.v for r in J.first_per_key(df, ["k"], "o").collect()}
     assert out == {"k": "a", "j": "c"}
+
+
+def test_sql_functions(spark):
+    P.register_sql_functions(spark)
+    r = spark.sql("SELECT storey_mid('07 TO 09') AS a, lease_months('73 years 05 months') AS b, "
+                  "lease_months('61 years 1 month') AS c, storey_mid('bad') AS d").first()
+    assert (r.a, r.b, r.c, r.d) == (8.0, 881, 732, None)
