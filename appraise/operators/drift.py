@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from appraise.operators.ranking import count_le, running_totals
+from appraise.session import materialize
 
 PSI_EPS = 1e-4
 
@@ -73,7 +74,7 @@ def value_counts(long: DataFrame) -> DataFrame:
         F.count_if(~F.col("is_test")).alias("n_train"),
         F.count_if(F.col("is_test")).alias("n_test"),
     )
-    return vc.checkpoint(eager=True)
+    return materialize(vc)
 
 
 def ks_from_counts(vc: DataFrame) -> DataFrame:

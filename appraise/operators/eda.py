@@ -12,14 +12,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from appraise.operators.ranking import count_le, exact_quantiles, running_totals
+from appraise.session import materialize
 
 
 def grouped_exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: list[float],
                             names: list[str] | None = None) -> DataFrame:
     """Exact per-group quantiles: (group_col, n, q...) with linear interpolation."""
     names = names or [f"q{int(p * 100)}" for p in probs]
-    vc = df.filter(F.col(value_col).isNotNull()).groupBy(group_col, value_col).agg(
-        F.count(F.lit(1)).alias("_c")).checkpoint(eager=True)  # read for edges, offsets and totals
+    vc = materialize(df.filter(F.col(value_col).isNotNull()).groupBy(group_col, value_col).agg(
+        F.count(F.lit(1)).alias("_c")))  # read for edges, offsets and totals
     cum = running_totals(vc, [group_col], value_col, ["_c"])
     n = vc.groupBy(group_col).agg(F.sum("_c").alias("_n"))
     j = cum.join(n, group_col).withColumn("_start", F.col("cum__c") - F.col("_c"))

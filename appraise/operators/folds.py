@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from appraise.operators.errors import metric_columns
 from appraise.operators.sets import union_by_name
+from appraise.session import materialize
 
 log = logging.getLogger(__name__)
 
@@ -146,7 +147,7 @@ def walk_forward_cv(df: DataFrame, model_fn: ModelFn, month_col: str = "month",
         test = base.filter((F.col("idx") >= row["test_start_idx"]) & (F.col("idx") <= row["test_end_idx"])).drop("idx")
         try:
             out = model_fn(train, test).select(F.lit(row["fold"]).alias("fold"), "prediction", target_col)
-            out = out.checkpoint(eager=True)  # materialise the fold's predictions once
+            out = materialize(out)  # materialise the fold's predictions once
             return row["fold"], out, train.count(), None
         except Exception as exc:  # noqa: BLE001 - a failing fold is reported, not fatal
             log.error("fold %s failed: %s", row["fold"], exc)

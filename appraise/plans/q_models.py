@@ -18,6 +18,7 @@ from appraise.plans.catalog import register
 from appraise.plans.features import FeatureConfig, model_columns, processed_frame
 from appraise.session import scratch_path
 from appraise.sources import tables as T
+from appraise.session import materialize
 
 QUICK = {"lgbm": M.quick(M.MODEL_A), "xgboost": M.quick(M.MODEL_B)}
 WEIGHTS = {"lgbm": 0.5, "xgboost": 0.5}
@@ -40,7 +41,7 @@ def _ensemble(spark: SparkSession, sf: str):
             cats, nums = model_columns(df, TARGET)
             ens, metrics = M.train_ensemble(df.filter("split = 'train'"), df.filter("split = 'test'"), TARGET, cats,
                                             nums, QUICK, WEIGHTS)
-            _cache[key] = (ens, metrics.checkpoint(eager=True))
+            _cache[key] = (ens, materialize(metrics))
         return _cache[key]
 
 

@@ -76,3 +76,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "tables", name)
+
+
+def materialize(df):
+    """Reliable checkpoint into the shared folder, computing the input only once.
+
+    A reliable checkpoint writes its files in a second job that recomputes the
+    input; persisting first lets that job read the cached blocks instead. The
+    cache is released once the checkpoint files exist; the returned frame reads
+    only the checkpoint (short lineage, survives executor loss).
+    """
+    from pyspark import StorageLevel
+
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
