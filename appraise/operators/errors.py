@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from appraise.operators.ranking import exact_quantiles
+from appraise.session import materialize
 
 EPS = 2.220446049250313e-16  # float64 machine epsilon (guards the MAPE divisor)
 
@@ -90,9 +91,15 @@ def band_of(col: str | Column, inner_edges: list[float]) -> Column:
 def error_by_price_band(
     df: DataFrame, pred_col: str = "prediction", target_col: str = "resale_price", n_bands: int = 5
 ) -> DataFrame:
-    """Equal-frequency bands of the target; per band min, max, n, mean signed error, MAE."""
-    edges = quantile_edges(df, target_col, n_bands)
-    d = with_residuals(df.filter(F.col(target_col).isNotNull()), pred_col, target_col)
+    """Equal-frequency bands of the target; per band min, max, n, mean signed error, MAE.
+
+    The two needed columns are materialised once: the exact edges take three
+    passes and the band aggregate a fourth, none of which should recompute
+    the (possibly expensive) prediction plan.
+    """
+    base = materialize(df.select(target_col, pred_col).filter(F.col(target_col).isNotNull()))
+    edges = quantile_edges(base, target_col, n_bands)
+    d = with_residuals(base, pred_col, target_col)
     return (
         d.withColumn("price_band", band_of(target_col, edges[1:-1]))
         .groupBy("price_band")
