@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from appraise.functions.geo import VINCENTY_ITERATIONS, WGS84_A, WGS84_B, WGS84_F
 from appraise.operators import joins as J
