@@ -202,3 +202,46 @@ def q_signed_error_by_month(spark, sf):
     n = naive_predictions(spark, sf)
     return n.groupBy(P.month_key("month").alias("month")).agg(
         r4(E.signed_error(n)).alias("signed_error"), F.count(F.lit(1)).alias("n"))
+
+
+@register("analytics_document")
+def q_analytics_document(spark, sf):
+    """The nested analytics document (naive model, walk-forward folds, bias tables), built as one
+    row of maps and arrays, then read back in long form (section, item, metric, value)."""
+    from appraise.plans import report as R
+    from appraise.plans.catalog import QUERIES
+
+    naive = naive_predictions(spark, sf)
+    seg = E.error_by_segment(naive, segment_cols=["town", "flat_type"])
+    bands = E.error_by_price_band(naive)
+    folds = FO.walk_forward_group_mean(T.transactions(spark, sf), "town", "resale_price", "month", STEP, MIN_TRAIN)
+    metrics = QUERIES["metrics_by_model"](spark, sf)
+    imp = spark.createDataFrame([], "Feature string, LGBM_importance double, XGB_importance double, "
+                                    "mean_importance double")
+    counts = {r.split: r.n for r in QUERIES["time_split_counts"](spark, sf).collect()}  # two rows
+    doc = R.analytics_document(spark, "2001-09-01", counts.get("train", 0), counts.get("test", 0), metrics, folds,
+                               seg, bands, imp)
+
+    def section(name: str, key: str, fields: list[str]):
+        row = F.explode(name).alias("r")
+        return doc.select(row).select(
+            F.lit(name).alias("section"), F.col(f"r.{key}").cast("string").alias("item"),
+            F.explode(F.create_map(*sum([[F.lit(f), F.col(f"r.{f}").cast("double")] for f in fields], []))).alias(
+                "metric", "value"))
+
+    parts = [
+        section("backtest_folds", "fold", ["n_train", "n_test", "MAPE_pct", "MAE", "RMSE", "signed_error"]),
+        section("bias_by_town", "town", ["n", "mean_signed_error", "mae", "mape_pct"]),
+        section("bias_by_flat_type", "flat_type", ["n", "mean_signed_error", "mae", "mape_pct"]),
+        section("bias_by_price_band", "price_band", ["price_min", "price_max", "n", "mean_signed_error", "mae"]),
+        doc.select(F.explode("metrics").alias("model", "m")).select(
+            F.lit("metrics").alias("section"), F.col("model").alias("item"),
+            F.explode("m").alias("metric", "value")),
+        doc.select(F.lit("summary").alias("section"), F.lit("run").alias("item"),
+                   F.explode(F.create_map(F.lit("n_train"), F.col("n_train").cast("double"),
+                                          F.lit("n_test"), F.col("n_test").cast("double"))).alias("metric", "value")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
