@@ -42,3 +42,16 @@ def test_query_matches_oracle_small(spark, duck, name):
     got = _rows(E.queries()[name](spark, SF_SMALL).toPandas())
     exp = _rows(duck.execute(E.oracle_sql()[name]).df())
     assert got == exp
+
+
+def test_analytics_document_sections(spark):
+    rows = E.queries()["analytics_document"](spark, SF_SMALL).collect()
+    sections = {r.section for r in rows}
+    assert sections == {"backtest_folds", "bias_by_town", "bias_by_flat_type", "bias_by_price_band", "metrics",
+                        "summary"}
+    summary = {r.metric: r.value for r in rows if r.section == "summary"}
+    from appraise.sources.tables import transactions
+
+    assert summary["n_train"] + summary["n_test"] == transactions(spark, SF_SMALL).count()
+    assert summary["n_train"] > 0 and summary["n_test"] > 0
+    assert len({r.item for r in rows if r.section == "bias_by_price_band"}) == 5
