@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appraise.llm import language_id, secrets
+from appraise.llm import language_id, quality_rules, secrets
 from appraise.llm.common import documents, fold
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+@register("op2_quality_rules", quality_rules.oracle())
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality verdict of every document by fences of its language and source."""
+    return quality_rules.judge(documents(spark, sf_dir))
+
+
 @register("op4_secret_scan")
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: base patterns, and spans whose structure was confirmed by decoding."""
