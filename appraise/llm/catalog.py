@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appraise.llm import language_id, quality_rules, secrets
-from appraise.llm.common import documents, fold
+from appraise.llm import language_id, quality_model, quality_rules, secrets, toxicity
+from appraise.llm.common import documents, fold, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -39,12 +39,32 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
 
+@register("op3_quality_classifier")
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of the held-out fold are never read into the model."""
+    docs = documents(spark, sf_dir)
+    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 3) != 1)
+    w = quality_model.train(docs, labels, "quality")
+    rows = docs.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "text")
+    return quality_model.score(rows, w).drop("text")
+
+
 @register("op4_secret_scan")
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: base patterns, and spans whose structure was confirmed by decoding."""
     return secrets.scan_documents(documents(spark, sf_dir))
 
 
+@register("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels of the held-out fold are never read into the model."""
+    docs = documents(spark, sf_dir)
+    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 5) != 0)
+    model = toxicity.train(docs, labels, "toxic")
+    rows = docs.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "text")
+    return toxicity.score(rows, model).drop("text")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

@@ -21,8 +21,12 @@ SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def words(text: Column) -> Column:
@@ -94,16 +98,19 @@ def train_in_rounds(
     state = [np.asarray(a) for a in init]
     schema = "shard int, n long, " + ", ".join(f"a{i} binary" for i in range(len(state)))
     sc = rows.sparkSession.sparkContext
-    for _ in range(rounds):
-        held = sc.broadcast(state)
 
-        def run(pdf: pd.DataFrame, held=held) -> pd.DataFrame:
+    def one_round(held):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
             out = step(pdf, [a.copy() for a in held.value])
             row = {"shard": int(pdf["shard"].iloc[0]), "n": len(pdf)}
             row |= {f"a{i}": a.tobytes() for i, a in enumerate(out)}
             return pd.DataFrame([row])
 
-        got = rows.groupBy("shard").applyInPandas(run, schema).collect()
+        return rows.groupBy("shard").applyInPandas(run, schema).collect()
+
+    for _ in range(rounds):
+        held = sc.broadcast(state)
+        got = one_round(held)
         if not got:
             break
         total = sum(r.n for r in got)
