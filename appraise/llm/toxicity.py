@@ -7,7 +7,9 @@ seen shares most of its vector with the word it comes from. A window of
 classes reads it. Embeddings and softmax are trained jointly in numpy with
 Adagrad. A text is as toxic as its most toxic window: a few words in a long text
 are found and their number doesn't dilute. Accordingly the training looks, in each
-epoch, at the windows that score highest in each text (all windows in the first).
+epoch, at the windows that score highest in each text (in the first, at those
+with words that texts of label 1 have and others lack), and leaves out texts of
+label 1 whose windows look like the rest.
 
 Training uses a bounded, repeatable sample of labelled rows, cut into shards whose
 states are averaged each round. Because the softmax is linear in the mean, scoring
@@ -38,19 +40,21 @@ _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 @dataclass(frozen=True)
 class Params:
-    bits: int = 15
+    bits: int = 17
     """The embedding table has 2**bits rows."""
     dim: int = 8
     grams: tuple[int, ...] = (3, 4, 5)
-    window: int = 6
+    window: int = 3
     positives: int = 1500
     negatives: int = 2500
     """About so many labelled rows of each class are learned from."""
     shard_rows: int = 1000
-    rounds: int = 4
-    epochs: int = 4
-    rate: float = 0.3
-    decay: float = 1e-4
+    rounds: int = 2
+    epochs: int = 5
+    steps: int = 4
+    """On the windows of one epoch."""
+    rate: float = 0.1
+    decay: float = 0.01
 
 
 def tokens(text: str | None) -> list[str]:
@@ -96,54 +100,85 @@ def train_shard(texts: list[str | None], labels: list[int], state: list[np.ndarr
     ids = [np.fromiter((vocabulary[w] for w in d), np.int64, len(d)) for d in docs]
     used = [(i, y) for i, y in zip(ids, labels, strict=True) if len(i)]
     rng = np.random.default_rng(7)
+    w, floor, touched = p.window, 1e-6, np.unique(flat)
     for epoch in range(p.epochs):
-        vec = np.add.reduceat(emb[flat], starts, axis=0) / sizes[:, None]
-        margin = vec @ (soft[:, 1] - soft[:, 0])
+        if warm and epoch == 0:  # nothing is known yet: look at words that texts of label 1 have and others lack
+            margin = _contrast(used, len(starts))
+        else:
+            margin = _word_vectors(emb, flat, starts, sizes) @ (soft[:, 1] - soft[:, 0])
+        tops = [_best(window_means(margin[own], w), w, 1 if y else 3) for own, y in used]
+        peak = np.array([m[0] for _, m in tops])
+        ys = np.array([y for _, y in used])
+        # A text labelled 1 whose best window looks like those of label 0 teaches nothing: its label may be wrong.
+        bar = np.quantile(peak[ys == 0], 0.95) if (ys == 0).any() else -np.inf
+        if ((ys == 1) & (peak > bar)).sum() < 0.2 * (ys == 1).sum():
+            bar = np.quantile(peak[ys == 1], 0.5)
         picked, want = [], []
-        for own, y in used:
-            n = len(own) - p.window + 1
-            if n <= 1:
-                chosen = [0]
-            elif warm and epoch == 0:
-                chosen = rng.choice(n, min(n, 60), replace=False) if not y else np.arange(0, n, max(1, n // 400))
-            else:
-                m = window_means(margin[own], p.window)
-                top = np.argsort(-m, kind="stable")[: 3 * p.window]
-                chosen, taken = [], set()
-                for t in top:  # the best windows that don't overlap
-                    if not taken.intersection(range(t, t + p.window)):
-                        chosen.append(t)
-                        taken.update(range(t, t + p.window))
-                    if len(chosen) == (1 if y else 3):
-                        break
-                if not y:
-                    chosen += list(rng.choice(n, min(n, 3), replace=False))
-            for c in chosen:
-                picked.append(own[c : c + p.window])
-                want.append(y)
+        for (own, y), (top, m) in zip(used, tops, strict=True):
+            n = max(1, len(own) - w + 1)
+            if y and m[0] <= bar:
+                continue
+            if not y:
+                top = [*top, *rng.choice(n, min(n, 8), replace=False)]
+            picked += [own[c : c + w] for c in top]
+            want += [y] * len(top)
+        if not want:
+            continue
         y = np.array(want)
         weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
         width = np.fromiter(map(len, picked), np.int64, len(picked))
         which = np.concatenate(picked)
         at = np.repeat(np.arange(len(picked)), width)
-        for _ in range(6 if not (warm and epoch == 0) else 3):  # steps on the same windows
-            vec = np.add.reduceat(emb[flat], starts, axis=0) / sizes[:, None]
+        for _ in range(p.steps):
+            vec = _word_vectors(emb, flat, starts, sizes)
             mean = np.add.reduceat(vec[which], np.cumsum(width) - width, axis=0) / width[:, None]
-            prob = np.exp(logits := mean @ soft + bias)
-            prob = prob / prob.sum(axis=1, keepdims=True)
-            err = prob
+            logits = mean @ soft + bias
+            err = np.exp(logits - logits.max(axis=1, keepdims=True))
+            err /= err.sum(axis=1, keepdims=True)
             err[np.arange(len(y)), y] -= 1.0
             err *= weight[:, None]
-            d_soft, d_bias, d_mean = mean.T @ err + p.decay * soft, err.sum(axis=0), err @ soft.T / width[:, None]
-            d_vec = _sums(at=which, x=d_mean[at], n=len(starts)) / sizes[:, None]
-            d_emb = _sums(at=flat, x=d_vec[of_word], n=len(emb))
-            for a, g, d in ((emb, g_emb, d_emb), (soft, g_soft, d_soft), (bias, g_bias, d_bias)):
-                g += d * d
-                a -= p.rate * d / (np.sqrt(g) + 1e-10)
-            del logits
+            d_mean = err @ soft.T / width[:, None]
+            d_emb = _sums(flat, (_sums(which, d_mean[at], len(starts)) / sizes[:, None])[of_word], len(emb))
+            # Squares are summed over windows, so a row that few windows have moves little in one step.
+            of_row = np.bincount(which, (d_mean**2).sum(axis=1)[at], len(starts)) / sizes**2
+            g_emb += np.bincount(flat, of_row[of_word], len(emb))[:, None]
+            d_soft, d_bias = mean.T @ err, err.sum(axis=0)
+            g_soft += ((err**2).sum() * (mean**2).mean() + d_soft**2) * 0.5
+            g_bias += (err**2).sum(axis=0) + d_bias**2
+            emb -= p.rate * d_emb / (np.sqrt(g_emb) + floor)
+            emb[touched] *= 1 - p.decay
+            soft -= p.rate * d_soft / (np.sqrt(g_soft) + 1e-12)
+            bias -= p.rate * d_bias / (np.sqrt(g_bias) + 1e-12)
     return [emb, soft, bias, g_emb, g_soft, g_bias]
 
 
+def _word_vectors(emb: np.ndarray, flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(emb[flat], starts, axis=0) / sizes[:, None]
+
+
+def _contrast(used: list[tuple[np.ndarray, int]], n: int) -> np.ndarray:
+    """Per word: how far the share of texts of label 1 that have it exceeds that of label 0, in standard errors (0 below 2)."""
+    has = np.zeros((2, n))
+    of = np.zeros(2)
+    for own, y in used:
+        has[y, np.unique(own)] += 1
+        of[y] += 1
+    of = np.maximum(of, 1)
+    z = (has[1] / of[1] - has[0] / of[0]) / np.sqrt((has[1] + 0.1) / of[1] ** 2 + (has[0] + 0.1) / of[0] ** 2)
+    return np.where(z > 2, z, 0.0)
+
+
+def _best(m: np.ndarray, w: int, k: int) -> tuple[list[int], list[float]]:
+    """Starts and values of the ``k`` highest windows that don't overlap."""
+    m, out, got = m.copy(), [], []
+    while len(out) < k and np.isfinite(m).any():
+        t = int(np.argmax(m))
+        out.append(t)
+        got.append(float(m[t]))
+        m[max(0, t - w + 1) : t + w] = -np.inf
+    return out, got
+
+
 def _sums(at: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.bincount(at, x[:, k], n) for k in range(x.shape[1])], axis=1)
 
@@ -170,7 +205,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", params: Para
     rng = np.random.default_rng(1)
     size = 1 << p.bits
     state = [rng.normal(0, 0.1, (size, p.dim)), rng.normal(0, 0.1, (p.dim, 2)), np.zeros(2)]
-    state += [np.zeros_like(x) for x in state]
+    state += [np.zeros((size, 1)), np.zeros((p.dim, 2)), np.zeros(2)]
     state = [x.astype(np.float32) for x in state]
     for i in range(p.rounds):
 
