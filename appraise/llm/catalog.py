@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appraise.llm import language_id, quality_model, quality_rules, secrets, toxicity
+from appraise.llm import language_id, quality_model, quality_rules, secrets, substrings, toxicity
 from appraise.llm.common import documents, fold, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(rows, model).drop("text")
 
 
+@register("op6_substring_dedup")
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that are left when repeated 20-word windows go."""
+    return substrings.remove_repeats(documents(spark, sf_dir), with_text=False)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
