@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appraise.llm import language_id, quality_model, quality_rules, secrets, substrings, toxicity
+from appraise.llm import jaccard, language_id, quality_model, quality_rules, secrets, substrings, toxicity
 from appraise.llm.common import documents, fold, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,12 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(documents(spark, sf_dir), with_text=False)
 
 
+@register("op7_jaccard_join")
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by a Jaccard similarity of 0.75 of their five-word shingles."""
+    return jaccard.jaccard_components(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
