@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appraise.llm import jaccard, language_id, quality_model, quality_rules, secrets, substrings, toxicity
+from appraise.llm import decontaminate, jaccard, language_id, mixing, quality_model, quality_rules, secrets, substrings, toxicity
 from appraise.llm.common import documents, fold, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,18 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(documents(spark, sf_dir))
 
 
+@register("op8_source_mixing")
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources by weight takes from every document."""
+    return mixing.taken(mixing.mix(documents(spark, sf_dir)))
+
+
+@register("op10_decontamination")
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item of the benchmark, whole or edited, with the alignment's score."""
+    return decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
