@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appraise.llm import decontaminate, jaccard, language_id, mixing, quality_model, quality_rules, secrets, substrings, toxicity
+from appraise.llm import decontaminate, jaccard, language_id, mixing, quality_model, quality_rules, secrets, substrings, token_counts, toxicity
 from appraise.llm.common import documents, fold, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,12 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(documents(spark, sf_dir)))
 
 
+@register("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after a cleaning pass that edits it."""
+    return token_counts.recount(documents(spark, sf_dir), token_counts.cleaning_edits)
+
+
 @register("op10_decontamination")
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a test item of the benchmark, whole or edited, with the alignment's score."""

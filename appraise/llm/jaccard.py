@@ -114,7 +114,7 @@ def count_shingles(pdf: pd.DataFrame) -> pd.DataFrame:
 def first_shingles(pdf: pd.DataFrame, said: pd.DataFrame, buckets: int, size: int, percent: int) -> pd.DataFrame:
     """Per row: key, set size and fingerprint; for sets that may have a partner also their first shared shingles
     and all hashes that another set has."""
-    columns = ["_k", "n", "fp", "tokens", "shared"]
+    columns = ["_k", "digest", "n", "fp", "tokens", "shared"]
     if not len(pdf):
         return pd.DataFrame([], columns=columns)
     pdf, sets, prints, first = _distinct(pdf, size)
@@ -127,7 +127,8 @@ def first_shingles(pdf: pd.DataFrame, said: pd.DataFrame, buckets: int, size: in
     order = np.argsort(known)
     known, count = known[order], count[order]
     rows = []
-    for k, s, p, f in zip(pdf["_k"], sets, prints, first, strict=True):
+    for k, text, s, p, f in zip(pdf["_k"], pdf["_t"], sets, prints, first, strict=True):
+        digest = hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest()
         tokens = shared = None
         if f and len(known):
             keys = C.keyed(s, buckets)
@@ -139,7 +140,7 @@ def first_shingles(pdf: pd.DataFrame, said: pd.DataFrame, buckets: int, size: in
                 order = np.lexsort((s[hit], keys[hit], count[at[hit]]))[:room]
                 tokens = np.unique(keys[hit][order]).view(np.int64).tolist()
                 shared = s[hit].tobytes()
-        rows.append((k, len(s), p, tokens, shared))
+        rows.append((k, digest, len(s), p, tokens, shared))
     return pd.DataFrame(rows, columns=columns)
 
 
@@ -235,8 +236,9 @@ def region_links(regions: DataFrame, classes: DataFrame, roots: DataFrame, perce
     )
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", size: int = 5, percent: int = 75) -> DataFrame:
-    """Per row: the key, ``n_shingles`` and ``component_id`` (least key reachable by links, itself included)."""
+def grouped(docs: DataFrame, key: str, size: int, percent: int) -> DataFrame:
+    """Per row: ``_k`` (the key, null last), digest of the text, set size ``n``, ``top`` (null for an empty set, else the
+    same for all rows of a component) and ``component`` (its least ``_k``)."""
     spark = docs.sparkSession
     n, buckets = C.sizes(docs)
     dealt = C.chunked(docs, key, n)
@@ -245,7 +247,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", size: int = 5, perc
     said = sent.groupBy("bucket").applyInPandas(count_shingles, "chunk int, bucket int, n int, hashes binary, counts binary")
     rows = dealt.groupBy("chunk").cogroup(said.groupBy("chunk")).applyInPandas(
         lambda pdf, got: first_shingles(pdf, got, buckets, size, percent),
-        "_k long, n long, fp binary, tokens array<long>, shared binary",
+        "_k long, digest string, n long, fp binary, tokens array<long>, shared binary",
     )
     rows = saved(spark, rows, "shingle-sets")
     classes = rows.where("tokens is not null").groupBy("fp").agg(
@@ -274,15 +276,34 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", size: int = 5, perc
     least = rows.where("fp is not null").groupBy("fp").agg(F.min("_k").alias("least"))
     named = least.join(top, "fp", "left").select("fp", F.coalesce("top", "fp").alias("top"), "least")
     ids = named.groupBy("top").agg(F.min("least").alias("component"))
-    named = named.join(ids, "top").select("fp", "component")
-    out = rows.select("_k", "n", "fp").join(named, "fp", "left")
+    named = named.join(ids, "top").select("fp", "top", "component")
+    return rows.select("_k", "digest", "n", "fp").join(named, "fp", "left").drop("fp")
+
+
+def jaccard_components(docs: DataFrame, key: str = "doc_id", size: int = 5, percent: int = 75) -> DataFrame:
+    """Per row: the key, ``n_shingles`` and ``component_id`` (least key reachable by links, itself included)."""
     kind = docs.schema[key].dataType
 
     def back(c: Column) -> Column:
         return F.when(c != C.LAST, c).cast(kind)
 
-    return out.select(
+    return grouped(docs, key, size, percent).select(
         back(F.col("_k")).alias(key),
         F.col("n").alias("n_shingles"),
         back(F.coalesce("component", "_k")).alias("component_id"),
     )
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", size: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the one with the least key (then least digest of the
+    text) stays. Rows without a word all stay."""
+    spark, columns = docs.sparkSession, docs.columns
+    groups = grouped(docs, key, size, percent).where("n > 0")
+    chosen = groups.groupBy("top").agg(F.min(F.struct("_k", "digest")).alias("x")).select("x._k", "x.digest").distinct()
+    chosen = saved(spark, chosen, "representatives")
+    text = F.coalesce("text", F.lit(""))
+    marked = docs.withColumn("_k", F.coalesce(F.col(key).cast("long"), F.lit(C.LAST)))
+    has_word = text.rlike(r"[^\x20\x09-\x0D]")
+    rows = marked.where(has_word).withColumn("digest", F.md5(text.cast("binary")))
+    rows = rows.join(chosen, ["_k", "digest"], "left_semi").dropDuplicates(["_k", "digest"])
+    return rows.select(*columns).unionByName(marked.where(~has_word).select(*columns))

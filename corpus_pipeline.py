@@ -1,10 +1,67 @@
-"""The training-data pipeline."""
+"""The training-data pipeline: five stages over ``documents``, each reading what the one before wrote.
+
+1. ``language_id``: rows whose language can't be told go: no text, no letter, or a score below ``MIN_LANGUAGE_SCORE``.
+2. ``near_duplicates``: of each component of the Jaccard join one document stays.
+3. ``decontamination``: documents that hold a test item of ``benchmark``, whole or edited, go.
+4. ``secrets``: secrets in the texts are masked (``n_chars`` follows); no document goes.
+5. ``mixing``: what a mix of the sources by weight takes from every document that is left.
+
+All stages but the last return the columns of ``documents``. SQL can't express them (trained model, alignment,
+pseudorandom draws), so there is no oracle; ``tests/llm/test_pipeline.py`` holds every stage against plain Python.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from appraise.llm import decontaminate, jaccard, language_id, mixing, secrets
+from appraise.llm.common import documents, saved, table
+
+MIN_LANGUAGE_SCORE = 0.4
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows with a known language. Without any labelled row, all that have a letter stay."""
+    model = language_id.train(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language_id.identify(docs, model)
+    good = (F.col("lang_pred") != language_id.UND) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    return found.where(good).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.representatives(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(F.size("matches") == 0).select(*docs.columns)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.mask_documents(docs)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mix(docs))
+
+
+STAGES = [
+    ("language_id", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("secrets", mask_secrets),
+    ("mixing", source_mixing),
+]
+
 ORACLE_SQL: str | None = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; every stage's result is written as Parquet and read again."""
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES:
+        docs = saved(spark, stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

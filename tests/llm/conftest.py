@@ -1,0 +1 @@
+from tests.conftest import spark  # noqa: F401
