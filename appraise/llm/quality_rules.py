@@ -40,11 +40,11 @@ class Rule:
 
 
 RATES = {
-    "word_length": "100 * word_chars div n_words",
-    "symbols": "1000 * n_symbols div n_words",
-    "capitals": "1000 * n_capitals div n_words",
-    "dup_lines": "1000 * n_dup_lines div n_lines",
-    "stutters": "1000 * n_stutters div n_words",
+    "word_length": "100 * word_chars div greatest(n_words, 1)",
+    "symbols": "1000 * n_symbols div greatest(n_words, 1)",
+    "capitals": "1000 * n_capitals div greatest(n_words, 1)",
+    "dup_lines": "1000 * n_dup_lines div greatest(n_lines, 1)",
+    "stutters": "1000 * n_stutters div greatest(n_words, 1)",
 }
 RULES = (
     Rule("word_length", 200, lower=True),

@@ -61,7 +61,7 @@ def test_states_survive_tables(spark, enc):
 
 
 def test_recount_of_documents(spark, enc):
-    from .conftest_llm import sample_docs
+    from .samples import sample_docs
 
     rows = sample_docs(spark)
     got = X.recount(rows, X.cleaning_edits).collect()
