@@ -23,7 +23,7 @@ from appraise.operators import folds as FO
 from appraise.operators import joins as J
 from appraise.operators import quality as Q
 from appraise.plans import report as R
-from appraise.plans.features import FeatureConfig, building_features, model_columns, processed_frame
+from appraise.plans.features import FeatureConfig, enriched_sales, model_columns, processed_frame
 from appraise.sources import tables as T
 from appraise.streaming.scoring import write_pointer
 
@@ -74,11 +74,7 @@ class Job:
     # ------------------------------------------------------------ stages
     def ingest(self) -> None:
         s, c = self.spark, self.cfg
-        tx = T.transactions(s, c.sf_dir)
-        df = J.merge_property_info(tx, T.property_attributes(s, c.sf_dir))
-        if c.features.with_spatial:
-            df = J.join_buildings(df, building_features(s, c.sf_dir, tx, c.features.distance_method))
-        R.write_table(df, c.path("interim", "tx"))
+        R.write_table(enriched_sales(s, c.sf_dir, c.features), c.path("interim", "tx"))
 
     def validate(self) -> None:
         s, c = self.spark, self.cfg
@@ -89,7 +85,7 @@ class Job:
         n_tx, n_series = fails.count(), sfails.count()
         lagged = J.lag_series(series, c.features.lag_months)
         missing = [r["month"].isoformat()[:7] for r in J.missing_months(tx, lagged).orderBy("month").collect()]
-        cov = Q.coverage(tx.select("block", "latitude").distinct(), "latitude").first() if "latitude" in tx.columns else None
+        cov = Q.coverage(tx.select("block", "street_name", "latitude").distinct(), "latitude").first() if "latitude" in tx.columns else None
         split = J.split_by_cutoff(tx, c.features.cutoff + "-01")
         nums = D.numeric_columns(tx, ["resale_price"]) + ["resale_price"]
         drift = D.drift_report(split.filter("split = 'train'"), split.filter("split = 'test'"), nums,
@@ -98,13 +94,13 @@ class Job:
         entries = [
             ("schema", "transaction_contract", n_tx == 0, n_tx, f"{n_tx} failure rows"),
             ("macro", "series_contract", n_series == 0, n_series, f"{n_series} failure rows"),
-            ("macro", "series_completeness", not missing, len(missing), ",".join(missing[:12])),
+            ("macro", "series_completeness", not missing, len(missing), ",".join(missing)),
             ("drift", "psi_flagged", not flagged, len(flagged), ",".join(flagged)),
         ]
         if cov is not None:
             entries.append(("geo", "coverage", bool(cov["passed"]), 0, f"{cov['coverage']:.4f}"))
         self._report(Q.check_table(s, entries), "validation_checks")
-        self._report(fails, "contract_failures")
+        self._report(fails.unionByName(sfails), "contract_failures")
         self._report(drift, "drift")
         fails.unpersist()
         sfails.unpersist()
@@ -114,7 +110,7 @@ class Job:
 
     def features(self) -> None:
         s, c = self.spark, self.cfg
-        df = processed_frame(s, c.sf_dir, c.features)
+        df = processed_frame(s, c.sf_dir, c.features, self._read("interim", "tx"))
         df.write.mode("overwrite").partitionBy("split").parquet(c.path("processed"))
 
     def collinearity(self) -> None:
@@ -172,7 +168,7 @@ class Job:
         s, c = self.spark, self.cfg
         proc = self._read("processed")
         if "transaction_month" not in proc.columns:
-            raise ValueError("'transaction_month' is missing: cannot run the backtest")
+            raise ValueError("the processed table has no transaction_month column; folds need it")
         cats, nums = model_columns(proc, c.target, self._dropped())
         folds, errors = FO.walk_forward_cv(proc, self._model_fn(cats, nums), "transaction_month", c.target,
                                            c.step_months, c.min_train_months, c.parallelism)

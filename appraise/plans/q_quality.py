@@ -139,15 +139,14 @@ fx AS (
                  THEN CAST(split_part(trim(t.remaining_lease), ' ', 3) AS INTEGER) ELSE 0 END AS lease_months,
          t.lease_commence_date, CAST(year(t.month) AS INTEGER) AS year, CAST(month(t.month) AS INTEGER) AS month_numeric,
          s.sora_3m, s.cpi_all_items, s.gdp_growth_qoq, s.unemployment_rate
-  FROM split_tx t JOIN series s ON t.month = CAST(s.month + INTERVAL 1 MONTH AS DATE))"""
+  FROM split_tx t LEFT JOIN series s ON t.month = CAST(s.month + INTERVAL 1 MONTH AS DATE))"""
 
 
 def feature_frame(spark: SparkSession, sf: str) -> DataFrame:
-    """Split sale records with parsed numerics and the lagged series (rows without a lagged month dropped)."""
+    """Split sale records with parsed numerics and the lagged series (null in the first month, which has none)."""
     t = split_tx(spark, sf)
     t = J.lagged_join(t, T.monthly_series(spark, sf), 1,
                       measures=["sora_3m", "cpi_all_items", "gdp_growth_qoq", "unemployment_rate"])
-    t = t.filter(F.col("sora_3m").isNotNull())
     t = t.withColumns({"storey_mid": P.storey_mid("storey_range"), "lease_months": P.lease_months("remaining_lease")})
     t = P.expand_transaction_date(t)
     return t.select("tx_id", "split", "resale_price", *FEATURE_NUMERICS)

@@ -26,3 +26,26 @@ def q_csv_roundtrip(spark, sf):
     back = RD.read_transactions_csv(spark, path)
     return back.groupBy(P.month_key("month").alias("month")).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("resale_price"), 2).alias("total_price"))
+
+
+HISTORY_MONTHS = ["2001-01", "2001-02", "2001-03"]
+
+
+@register("report_history", with_views(f"""
+SELECT town, count(*) AS n, strftime(month, '%Y-%m-%d') AS date FROM tx
+WHERE month IN (DATE '{HISTORY_MONTHS[0]}-01', DATE '{HISTORY_MONTHS[2]}-01') GROUP BY town, month""", "tx"))
+def q_report_history(spark, sf):
+    """A6 + A11: a report per run date, all read as one table; the second date is run again and then has no rows."""
+    import uuid
+
+    from appraise.plans import report as R
+
+    base = scratch_path(spark, f"history-{uuid.uuid4().hex}")
+    tx = T.transactions(spark, sf, since=HISTORY_MONTHS[0] + "-01")
+    for month in HISTORY_MONTHS:
+        day = f"{month}-01"
+        rows = tx.filter(F.col("month") == F.to_date(F.lit(day))).groupBy("town").agg(F.count(F.lit(1)).alias("n"))
+        R.write_report(rows, base, "sales_by_town", day)
+    day = HISTORY_MONTHS[1] + "-01"
+    R.write_report(spark.createDataFrame([], "town string, n long"), base, "sales_by_town", day)
+    return R.read_report_history(spark, base, "sales_by_town")

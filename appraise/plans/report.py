@@ -1,8 +1,8 @@
 """Report tables, the nested analytics document and run history.
 
-Reports are parquet tables partitioned by ``date=<run_date>``; the session
-uses dynamic partition overwrite, so re-running a date replaces only that
-date. Reading the table base path yields every run with a ``date`` column
+Reports are parquet tables with one folder ``date=<run_date>`` per run, each
+overwritten as a whole, so re-running a date replaces that date (also by nothing)
+and no other. Reading the table base path yields every run with a ``date`` column
 (partition discovery), which is what the trend and freshness views use.
 """
 
@@ -21,16 +21,15 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def write_report(df: DataFrame, base: str, name: str, run_date: str) -> str:
     """Write a report under ``base/name/date=<run_date>`` (only that date is replaced)."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     path = f"{base.rstrip('/')}/{name}"
-    df.withColumn("date", F.lit(run_date)).write.mode("overwrite").partitionBy("date").parquet(path)
+    df.write.mode("overwrite").parquet(f"{path}/date={run_date}")
     return path
 
 
 def read_report_history(spark: SparkSession, base: str, name: str) -> DataFrame:
     """All run dates of a report as one table with a ``date`` column."""
-    return spark.read.option("basePath", f"{base.rstrip('/')}/{name}").parquet(f"{base.rstrip('/')}/{name}")
+    path = f"{base.rstrip('/')}/{name}"
+    return spark.read.option("basePath", path).parquet(path).withColumn("date", F.col("date").cast("string"))
 
 
 def _one_row_join(frames: list[DataFrame]) -> DataFrame:

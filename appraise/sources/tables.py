@@ -47,29 +47,19 @@ TX_COLUMNS = [
 ]
 
 
-# Fact tables whose scan must be spread over the cluster even when the files
-# cannot be split (a file with one row group is read by one task).
-SPREAD_TABLES = {"lineitem"}
+SCAN_CONF = "spark.appraise.scanPartitions"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table.
 
-    Large inputs arrive as many files/row groups and need nothing. A fact
-    table whose scan yields fewer partitions than the cluster has cores is
-    spread with a round-robin repartition, so the joins and projections
-    after it (broadcast joins keep the scan's partitioning) use every core.
+    A fact table in files that can't be split (one row group) is read by one task. Whoever runs on such files sets
+    ``spark.appraise.scanPartitions``; ``lineitem`` is then dealt out to so many partitions. Nothing is decided by
+    the size of the input.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in SPREAD_TABLES:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            parts = df.rdd.getNumPartitions()
-        except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as is
-            return df
-        if parts < cores:
-            df = df.repartition(cores)
-    return df
+    parts = spark.conf.get(SCAN_CONF, None) if name == "lineitem" else None
+    return df.repartition(int(parts)) if parts else df
 
 
 def _lpad2(c: Column) -> Column:

@@ -28,3 +28,6 @@ def test_job_all_stages(spark, scratch):
     # a later stage alone reads the saved output of the earlier ones
     run_job(spark, cfg, ("collinearity",))
     assert spark.read.parquet(os.path.join(out, "reports", "collinearity_vif")).count() > 0
+    tx = spark.read.parquet(os.path.join(out, "interim", "tx"))
+    assert {"is_elite_closest_primary", "is_elite_closest_secondary", "is_elite_closest_mixed"} <= set(tx.columns)
+    assert set(tx.columns) & set(spark.read.parquet(os.path.join(out, "processed")).columns) >= {"is_elite_closest_primary"}
