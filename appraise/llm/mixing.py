@@ -198,7 +198,9 @@ def mix(
         .withColumn("from", F.greatest(F.col("place"), F.col("block") * block))
         .select("key", "s", "block", "place", (F.col("from") - F.col("place")).alias("first"), (end - F.col("from")).alias("n"))
     )
-    return Mix(sources, rows, fragments, slot_table(spark, sources, shard_slots, seed))
+    # Written out: its size then is known, so joins with it aren't planned as broadcasts of what is really large.
+    slots = saved(spark, slot_table(spark, sources, shard_slots, seed), "slots")
+    return Mix(sources, rows, fragments, slots)
 
 
 def assemble(m: Mix) -> DataFrame:
