@@ -17,9 +17,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from appraise.llm.common import partitions, split_words
+from appraise.llm.common import byte_words, partitions
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 LAST = (1 << 63) - 1
 """Stands for a null key: it comes after all others."""
@@ -40,28 +39,22 @@ def sizes(docs: DataFrame) -> tuple[int, int]:
     return 2 * n, n
 
 
-def lower_ascii(text: str | None) -> str | None:
-    if text is None:
-        return None
-    return text.lower() if text.isascii() else text.translate(_LOWER)
-
-
 class Words:
     """The words of several texts, one after another, as two independent 64-bit hashes each."""
 
     def __init__(self, texts: list[str | None], lower: bool = False):
         import xxhash
 
-        vocabulary: dict[str, int] = defaultdict(count().__next__)
+        vocabulary: dict[bytes, int] = defaultdict(count().__next__)
         ids, ends = [], []
         for text in texts:
-            got = split_words(lower_ascii(text) if lower else text)
+            got = byte_words(text, lower)
             ids.append(np.fromiter(map(vocabulary.__getitem__, got), np.int32, len(got)))
             ends.append(len(got))
         self.n = np.array(ends, np.int64)
         self.start = np.cumsum(self.n) - self.n
         at = np.concatenate([np.zeros(0, np.int32), *ids])
-        digests = b"".join(xxhash.xxh3_128_digest(w.encode("utf-8", "surrogatepass")) for w in vocabulary)
+        digests = b"".join(map(xxhash.xxh3_128_digest, vocabulary))
         table = np.frombuffer(digests, np.uint64).reshape(-1, 2)
         self.a, self.b = (table[at, 0], table[at, 1]) if len(table) else (np.zeros(0, np.uint64),) * 2
 

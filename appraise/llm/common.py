@@ -35,25 +35,16 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
 
 
-def split_words(text: str | None) -> list[str]:
-    """The same words in Python (``str.split()`` would also cut at other Unicode blanks)."""
+def byte_words(text: str | None, lower: bool = False) -> list[bytes]:
+    """The same words in Python, as UTF-8: ``bytes.split`` cuts at those six bytes alone, ``bytes.lower`` changes A-Z alone."""
     if not text:
         return []
-    if text.isascii() and not _ASCII_EXTRA.intersection(text):
-        return text.split()
-    return _SPLIT(text)
-
-
-_ASCII_EXTRA = frozenset("\x1c\x1d\x1e\x1f")
-
+    data = text.encode("utf-8", "surrogatepass")
+    return (data.lower() if lower else data).split()
 
-def _make_split():
-    import re
 
-    return re.compile(r"[^\x20\x09-\x0D]+").findall
-
-
-_SPLIT = _make_split()
+def split_words(text: str | None) -> list[str]:
+    return [w.decode("utf-8", "surrogatepass") for w in byte_words(text)]
 
 
 def saved(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

@@ -250,13 +250,13 @@ def grouped(docs: DataFrame, key: str, size: int, percent: int) -> DataFrame:
         "_k long, digest string, n long, fp binary, tokens array<long>, shared binary",
     )
     rows = saved(spark, rows, "shingle-sets")
-    classes = rows.where("tokens is not null").groupBy("fp").agg(
-        F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("shared").alias("shared")
-    )
-    classes = saved(spark, classes, "classes")
-    tokens = classes.select("fp", F.explode("tokens").alias("token"))
+    found = rows.where("tokens is not null")
+    tokens = found.select("fp", F.explode("tokens").alias("token")).distinct()
     pivots = tokens.groupBy("token").agg(F.min("fp").alias("pivot"), F.count("*").alias("m")).where("m > 1")
-    pairs = tokens.join(pivots, "token").where("fp != pivot").select("fp", "pivot").distinct()
+    pairs = saved(spark, tokens.join(pivots, "token").where("fp != pivot").select("fp", "pivot").distinct(), "pairs")
+    paired = pairs.select("fp").unionByName(pairs.select(F.col("pivot").alias("fp"))).distinct()
+    classes = found.join(paired, "fp", "left_semi").groupBy("fp").agg(F.first("n").alias("n"), F.first("shared").alias("shared"))
+    classes = saved(spark, classes, "classes")
     a = classes.select(F.col("fp").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
     b = classes.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"))
     pairs = pairs.select(F.col("fp").alias("a"), F.col("pivot").alias("b")).join(a, "a").join(b, "b")

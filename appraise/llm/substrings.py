@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from appraise.llm import chunks as C
-from appraise.llm.common import split_words
+from appraise.llm.common import byte_words
 
 _SENT = "bucket int, chunk int, n int, blocks binary, twice binary, m int, probes binary"
 _PLACES = "bucket int, chunk int, a binary, b binary, doc binary, pos binary, more binary"
@@ -176,10 +176,10 @@ def remove(pdf: pd.DataFrame, said: pd.DataFrame, size: int, with_text: bool) ->
     for k, text, start, n in zip(pdf["_k"], pdf["text"], w.start, w.n, strict=True):
         out = gone[start : start + n]
         removed = int(out.sum())
-        got = split_words(text)
-        kept = " ".join(got if not removed else [x for x, g in zip(got, out.tolist(), strict=True) if not g])
-        digest = hashlib.sha256(kept.encode("utf-8", "surrogatepass")).hexdigest()
-        rows.append((k, int(n), removed, digest, kept if with_text else None))
+        got = byte_words(text)
+        kept = b" ".join(got if not removed else [x for x, g in zip(got, out.tolist(), strict=True) if not g])
+        digest = hashlib.sha256(kept).hexdigest()
+        rows.append((k, int(n), removed, digest, kept.decode("utf-8", "surrogatepass") if with_text else None))
     return pd.DataFrame(rows, columns=["_k", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
 

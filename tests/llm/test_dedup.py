@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from appraise.llm import chunks, jaccard, substrings
-from appraise.llm.common import split_words
+from appraise.llm.common import byte_words, split_words
 from appraise.llm.components import components
 
 from .samples import sample_docs
@@ -78,7 +78,7 @@ def test_substrings_of_a_sample(spark):
 def joined_by_hand(docs, percent=75):
     sets = []
     for _, t in docs:
-        w = split_words(chunks.lower_ascii(t))
+        w = [x.decode() for x in byte_words(t, lower=True)]
         sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()})
     root = list(range(len(docs)))
 
