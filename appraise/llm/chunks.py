@@ -36,7 +36,7 @@ def chunked(docs: DataFrame, key: str, n: int) -> DataFrame:
 def sizes(docs: DataFrame) -> tuple[int, int]:
     """Number of chunks and of buckets, in proportion to the session's shuffle partitions."""
     n = partitions(docs.sparkSession)
-    return 2 * n, n
+    return 3 * n, n
 
 
 class Words:

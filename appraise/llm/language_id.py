@@ -37,8 +37,8 @@ _LETTERS = re.compile(r"[^\W\d_]+").findall
 class Params:
     rows_per_language: int = 500
     """About so many labelled texts of each language are counted (a hash of the text chooses them)."""
-    words_per_language: int = 30_000
-    grams_per_language: int = 6_000
+    words_per_language: int = 20_000
+    grams_per_language: int = 4_000
     """Of each order."""
     orders: tuple[int, ...] = (5, 4, 3, 2, 1)
     smoothing: float = 0.5
@@ -51,28 +51,30 @@ class Model:
     """Per-language log frequencies; its size is bounded by ``Params`` and the number of languages."""
 
     languages: list[str]
-    table: dict[int, dict[str, np.ndarray]] = field(default_factory=dict)
-    """By order (0: whole words), the token's log frequency in each language."""
+    table: dict[int, tuple[list[str], np.ndarray]] = field(default_factory=dict)
+    """By order (0: whole words), the tokens and a matrix with a row of log frequencies in each language for each."""
     params: Params = Params()
 
 
 class Scorer:
     """Scores texts with a model; vectors of unseen words are worked out once a batch and kept (up to ``keep``)."""
 
-    def __init__(self, model: Model, keep: int = 300_000):
-        self.model, self.keep = model, keep
+    def __init__(self, model: Model, keep: int = 60_000):
+        self.model, self.keep, rows = model, keep, []
         self.grams: dict[int, dict[str, int]] = {}
-        rows = []
+        if not model.languages:
+            return
+        width, upto = len(model.languages), 0
         for n in model.params.orders:
-            own = model.table[n]
-            self.grams[n] = dict(zip(own, range(len(rows), len(rows) + len(own)), strict=True))
-            rows += own.values()
-        width = len(model.languages)
-        self.gram_rows = np.array([*rows, np.zeros(width)]).reshape(-1, width)  # the last: nothing known
-        known = model.table[0]
-        self.known = dict(zip(known, range(len(known)), strict=True))
-        self.known_rows = np.array(list(known.values())).reshape(-1, width)
-        self.at, self.rows = dict(self.known), self.known_rows
+            own, matrix = model.table[n]
+            self.grams[n] = dict(zip(own, range(upto, upto + len(own)), strict=True))
+            rows.append(matrix.reshape(-1, width))
+            upto += len(own)
+        self.gram_rows = np.concatenate([*rows, np.zeros((1, width))])  # the last: nothing known
+        known, matrix = model.table[0]
+        self.known, self.known_rows = dict(zip(known, range(len(known)), strict=True)), matrix.reshape(-1, width)
+        self.learned: dict[str, int] = {}
+        self.rows = self.known_rows
 
     def backoff(self, word: str) -> list[int]:
         """Rows of the known n-grams of the longest order that has any."""
@@ -90,24 +92,25 @@ class Scorer:
         flat = np.fromiter((h for own in hits for h in own), int, int(sizes.sum()))
         starts = np.cumsum(sizes) - sizes
         mean = np.add.reduceat(self.gram_rows[flat], starts, axis=0) / sizes[:, None]
-        self.at.update(zip(unseen, range(len(self.rows), len(self.rows) + len(unseen)), strict=True))
+        self.learned.update(zip(unseen, range(len(self.rows), len(self.rows) + len(unseen)), strict=True))
         self.rows = np.concatenate([self.rows, mean])
 
     def __call__(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         model, langs, scores = self.model, [UND] * len(texts), np.zeros(len(texts))
         if not model.languages:
             return langs, scores
-        if len(self.at) - len(self.known) > self.keep:
-            self.at, self.rows = dict(self.known), self.known_rows
+        if len(self.learned) > self.keep:
+            self.learned, self.rows = {}, self.known_rows
         counts = [Counter(letters(t)) for t in texts]
-        unseen = list(dict.fromkeys(w for of in counts for w in of if w not in self.at))
+        known, learned = self.known, self.learned
+        unseen = list(dict.fromkeys(w for of in counts for w in of if w not in known and w not in learned))
         if unseen:
             self.learn(unseen)
         for i, of in enumerate(counts):
             if not of:
                 continue
             k = np.fromiter(of.values(), float, len(of))
-            total = k @ self.rows[np.fromiter(map(self.at.__getitem__, of), int, len(of))]
+            total = k @ self.rows[[known[w] if w in known else learned[w] for w in of]]
             best = int(np.argmax(total))
             n = k.sum()
             langs[i] = model.languages[best]
@@ -133,7 +136,7 @@ def train(labelled: DataFrame, params: Params = Params()) -> Model:
     n = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(n)
     if not languages:
-        return Model([], {k: {} for k in (0, *params.orders)}, params)
+        return Model([], {}, params)
     share = F.lit(0.0)
     for lang in languages:
         share = F.when(F.col("lang") == lang, params.rows_per_language / n[lang]).otherwise(share)
@@ -175,7 +178,7 @@ def train(labelled: DataFrame, params: Params = Params()) -> Model:
     table = {}
     for o, tokens in found.items():
         low = np.array([np.log(total[lang, o] + params.smoothing * (len(tokens) + 1)) for lang in languages])
-        table[o] = {t: np.log(np.array(c) + params.smoothing) - low for t, c in tokens.items()}
+        table[o] = (list(tokens), np.log(np.array(list(tokens.values()), float).reshape(-1, len(languages)) + params.smoothing) - low)
     return Model(languages, table, params)
 
 
@@ -192,7 +195,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         if not own:
             own.append(Scorer(held.value))
         texts = batch.column("text").to_pylist()
-        parts = [own[0](texts[i : i + 1000]) for i in range(0, len(texts), 1000)]
+        parts = [own[0](texts[i : i + 200]) for i in range(0, len(texts), 200)]
         langs, scores = [x for p, _ in parts for x in p], [x for _, p in parts for x in p]
         return {"lang_pred": langs, "score": scores}
 

@@ -7,7 +7,7 @@
 5. ``mixing``: what a mix of the sources by weight takes from every document that is left.
 
 All stages but the last return the columns of ``documents``. SQL can't express them (trained model, alignment,
-pseudorandom draws), so there is no oracle; ``tests/llm/test_pipeline.py`` holds every stage against plain Python.
+pseudorandom draws), so there is no oracle; ``tests/llm/test_mixing_and_benchmark.py`` holds every stage against plain Python.
 """
 
 from __future__ import annotations

@@ -32,7 +32,7 @@ def test_languages_of_held_out_documents(spark):
 
 def test_backoff_uses_the_longest_known_order():
     p = language_id.Params(orders=(3, 1))
-    table = {0: {"the": np.array([-1.0, -5.0])}, 3: {"sch": np.array([-6.0, -2.0])}, 1: {"x": np.array([-1.0, -9.0])}}
+    table = {0: (["the"], np.array([[-1.0, -5.0]])), 3: (["sch"], np.array([[-6.0, -2.0]])), 1: (["x"], np.array([[-1.0, -9.0]]))}
     s = language_id.Scorer(language_id.Model(["en", "de"], table, p))
     assert s(["the", "schx", "x", "qq", "123", None])[0] == ["en", "de", "en", "en", "und", "und"]
 
