@@ -9,6 +9,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from appraise.functions import parse as P
 from appraise.ml import models as M
 from appraise.operators import errors as E
 from appraise.plans.catalog import register
@@ -171,3 +172,32 @@ def q_stream_scored_requests(spark, sf):
                              as_of="2001-09-01", available_now=True, enrich=_building_table(spark, sf))
     q.awaitTermination()
     return spark.read.parquet(f"{run}/out/scored").select("request_id", "price", "currency", "model_run_date")
+
+
+@register("batch_requests", with_views(f"""
+SELECT tx_id AS request_id, town, floor_area_sqm FROM tx WHERE month >= DATE '{FeatureConfig().cutoff}-01'""", "tx"))
+def q_batch_requests(spark, sf):
+    """Requests gathered into one batch document per building, exploded into rows again."""
+    from appraise.streaming.scoring import REQUEST_SCHEMA, explode_batches
+
+    row = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in REQUEST_SCHEMA.fields])
+    batches = _requests(spark, sf).groupBy(F.col("block").alias("batch_id")).agg(F.collect_list(row).alias("instances"))
+    rows, _ = explode_batches(batches)
+    return rows.select("request_id", "town", "floor_area_sqm")
+
+
+@register("request_months", with_views("""
+SELECT tx_id, strftime(CASE WHEN flat_type = '1-URGENT' THEN DATE '2001-09-01' ELSE month END, '%Y-%m-%d') AS month FROM tx""", "tx"))
+def q_request_months(spark, sf):
+    """The month of a request, or the day of asking where it can't be read."""
+    tx = T.transactions(spark, sf)
+    given = F.when(F.col("flat_type") == "1-URGENT", F.lit("no month")).otherwise(F.date_format("month", "yyyy-MM"))
+    return tx.select("tx_id", F.date_format(P.request_month(given, "2001-09-01"), "yyyy-MM-dd").alias("month"))
+
+
+@register("distinct_towns", with_views("SELECT DISTINCT town FROM tx", "tx"))
+def q_distinct_towns(spark, sf):
+    """The distinct values of a column in ascending order."""
+    from appraise.operators.sets import distinct_sorted
+
+    return distinct_sorted(T.transactions(spark, sf), "town")

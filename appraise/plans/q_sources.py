@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from appraise.functions import parse as P
@@ -36,8 +38,6 @@ SELECT town, count(*) AS n, strftime(month, '%Y-%m-%d') AS date FROM tx
 WHERE month IN (DATE '{HISTORY_MONTHS[0]}-01', DATE '{HISTORY_MONTHS[2]}-01') GROUP BY town, month""", "tx"))
 def q_report_history(spark, sf):
     """A6 + A11: a report per run date, all read as one table; the second date is run again and then has no rows."""
-    import uuid
-
     from appraise.plans import report as R
 
     base = scratch_path(spark, f"history-{uuid.uuid4().hex}")
@@ -49,3 +49,23 @@ def q_report_history(spark, sf):
     day = HISTORY_MONTHS[1] + "-01"
     R.write_report(spark.createDataFrame([], "town string, n long"), base, "sales_by_town", day)
     return R.read_report_history(spark, base, "sales_by_town")
+
+
+@register("series_csv", with_views("""
+SELECT strftime(month, '%Y-%m-%d') AS month, sora_3m, cpi_all_items, cooling_measure FROM series""", "series"))
+def q_series_csv(spark, sf):
+    """A4: the monthly series written as CSV (months as ``yyyy-MM``) and read back."""
+    path = scratch_path(spark, f"series-{uuid.uuid4().hex}")
+    out = T.monthly_series(spark, sf).withColumn("month", F.date_format("month", "yyyy-MM"))
+    out.select([f.name for f in RD.SERIES_CSV_SCHEMA.fields]).write.option("header", True).csv(path)
+    back = RD.read_series_csv(spark, path)
+    return back.select(F.date_format("month", "yyyy-MM-dd").alias("month"), "sora_3m", "cpi_all_items", "cooling_measure")
+
+
+@register("lookup_csv", with_views("SELECT ref_id, ref_name, level, sap_ind FROM refs", "refs"))
+def q_lookup_csv(spark, sf):
+    """A3: the reference lookup written as CSV with a leading index column, read back without it."""
+    path = scratch_path(spark, f"lookup-{uuid.uuid4().hex}")
+    refs = T.reference_points(spark, sf).select(F.col("ref_id").alias("_index"), "ref_id", "ref_name", "level", "sap_ind")
+    refs.write.option("header", True).csv(path)
+    return RD.read_lookup_csv(spark, path, "_index long, ref_id long, ref_name string, level string, sap_ind string")
