@@ -1,13 +1,13 @@
-"""Operator 10: benchmark decontamination, rare n-gram seeds and Smith-Waterman alignment.
+"""Operator 10: benchmark decontamination, n-gram seeds and Smith-Waterman alignment.
 
-Words are lower-cased runs of word characters. A first pass counts in how many
-documents each word n-gram of the benchmark occurs; the rarer half of each item's n-grams
-(and all that at most ``always`` documents have) are its seeds, so an item keeps seeds
-even if it was copied into many documents. A second pass finds the seeds in every
+Words are lower-cased runs of word characters. All word n-grams of an item are its seeds:
+which of them are rare in the documents doesn't matter, so whether a document matches doesn't
+depend on what others hold. One pass finds the seeds in every
 whole text, takes the passage around each cluster of seeds of one item and
 aligns it with the item (local alignment of words: match 1, mismatch -0.5, gap
--0.5). The score is the alignment's value over the item's length, 1 for a whole copy;
-``min_score`` and more is a match.
+-0.5). Passages whose words can't reach the least score in any order are not aligned
+(``at_most``, which never loses a match). The score is the alignment's value over the item's length, 1 for a whole copy;
+``min_score`` and more is a match. A copy edited so that no ``n`` words in a row are left has no seed and is not found.
 
 Test items are a stated query set against all documents: they are handled in blocks
 of a bounded number of characters, each sent to all tasks, one after another, so
@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +45,6 @@ MATCHES = T.ArrayType(
 @dataclass(frozen=True)
 class Params:
     n: int = 3
-    always: int = 3
     min_score: float = 0.5
     block_chars: int = 4_000_000
     """Characters of test items handled in one pass, about."""
@@ -93,27 +91,49 @@ def read_items(rows: list, p: Params) -> Items:
 
 
 class Finder:
-    """Seeds in texts. Codes of each n-gram length are looked up in a sorted array."""
-
-    def __init__(self, items: Items, seeds: dict[tuple[int, int], list[int]]):
-        self.items, self.base, self.seeds = items, len(items.vocabulary) + 1, seeds
-        lengths = sorted({n for n, _ in seeds})
-        self.of = {n: np.array(sorted(c for m, c in seeds if m == n), np.int64) for n in lengths}
+    """Seeds in texts. Codes of each n-gram length are looked up in a sorted array, beside which their items lie in a row."""
+
+    def __init__(self, items: Items):
+        self.items, self.base = items, len(items.vocabulary) + 1
+        self.sizes = np.fromiter(map(len, items.words), np.int64, len(items.words))
+        self.of = {}
+        for n in sorted({n for n, _ in items.owners}):
+            codes = sorted(c for m, c in items.owners if m == n)
+            count = np.fromiter((len(items.owners[n, c]) for c in codes), np.int64, len(codes))
+            flat = np.fromiter((i for c in codes for i in items.owners[n, c]), np.int64, int(count.sum()))
+            self.of[n] = np.array(codes, np.int64), np.cumsum(count) - count, count, flat
 
     def encode(self, text: str | None) -> np.ndarray:
         got = tokens(text)
         look = self.items.vocabulary.get
         return np.fromiter((look(w, 0) for w in got), np.int64, len(got))
 
-    def hits(self, ids: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """For each n-gram length: the length, and positions and codes of seeds."""
-        for n, codes in self.of.items():
+    def clusters(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Items and the positions of their seeds, cut where the next is more than the item's length away."""
+        who, where = [], []
+        for n, (codes, starts, count, flat) in self.of.items():
             c = coded(ids, n, self.base)
             at = np.searchsorted(codes, c)
             at[at == len(codes)] = 0
-            found = np.flatnonzero(codes[at] == c) if len(c) else at
-            if len(found):
-                yield n, found, c[found]
+            found = np.flatnonzero(codes[at] == c)
+            k = at[found]
+            run = np.arange(int(count[k].sum())) - np.repeat(np.cumsum(count[k]) - count[k], count[k])
+            who.append(flat[np.repeat(starts[k], count[k]) + run])
+            where.append(np.repeat(found, count[k]))
+        who, where = np.concatenate(who), np.concatenate(where)
+        if not len(who):
+            return
+        order = np.lexsort((where, who))
+        who, where = who[order], where[order]
+        cuts = np.flatnonzero((np.diff(who) > 0) | (np.diff(where) > self.sizes[who[:-1]])) + 1
+        for first, own in zip([0, *cuts.tolist()], np.split(where, cuts), strict=True):
+            yield int(who[first]), own
+
+
+def at_most(item: np.ndarray, passage: np.ndarray) -> float:
+    """What no local alignment exceeds: a passage word adds 1 if the item has it, and else costs a mismatch or gap."""
+    upto = np.concatenate([[0.0], np.cumsum(np.where(np.isin(passage, item), MATCH, max(MISMATCH, GAP)))])
+    return float((upto - np.minimum.accumulate(upto)).max())
 
 
 def local_alignment(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
@@ -143,57 +163,20 @@ def local_alignment(item: np.ndarray, passage: np.ndarray) -> tuple[float, int,
 def matches(finder: Finder, text: str | None, p: Params) -> list[tuple]:
     """Items whose alignment with a passage of the text scores ``min_score`` or more, the best passage of each."""
     ids, items = finder.encode(text), finder.items
-    at: dict[int, set[int]] = defaultdict(set)
-    for n, found, codes in finder.hits(ids):
-        for pos, code in zip(found.tolist(), codes.tolist(), strict=True):
-            for i in finder.seeds[n, code]:
-                at[i].add(pos)
-    out = []
-    for i, hits in sorted(at.items()):
-        item, best = items.words[i], None
-        where = np.array(sorted(hits))
+    best: dict[int, tuple] = {}
+    for i, cluster in finder.clusters(ids):
+        item = items.words[i]
         m = len(item)
-        for cluster in np.split(where, np.flatnonzero(np.diff(where) > m) + 1):
-            if len(cluster) < 2 and m >= 3 * p.n:
-                continue  # a whole item at the least score has more seeds than one
-            low, high = max(0, int(cluster[0]) - m), min(len(ids), int(cluster[-1]) + m + p.n)
-            value, end, begin = local_alignment(item, ids[low:high])
-            score = value / m
-            if score >= p.min_score and (best is None or score > best[1]):
-                best = (items.ids[i], score, len(cluster), low + begin, low + end - 1)
-        if best:
-            out.append(best)
-    return out
-
-
-def seeds_of(docs: DataFrame, items: Items, p: Params) -> dict[tuple[int, int], list[int]]:
-    """The seeds of the block's items, by the number of documents that have each n-gram."""
-    spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(Finder(items, items.owners))
-
-    def count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: dict[tuple[int, int], int] = defaultdict(int)
-        for pdf in it:
-            for text in pdf["text"]:
-                for n, _, codes in held.value.hits(held.value.encode(text)):
-                    for c in np.unique(codes).tolist():
-                        found[n, c] += 1
-        rows = [(n, c, k) for (n, c), k in found.items()]
-        yield pd.DataFrame(rows, columns=["n", "code", "docs"])
-
-    got = docs.select("text").mapInPandas(count, "n int, code long, docs long").groupBy("n", "code").agg(F.sum("docs").alias("docs"))
-    has = {(r["n"], r["code"]): r["docs"] for r in got.collect()}  # at most one row for each n-gram of the block
-    own = defaultdict(list)
-    for key, of in items.owners.items():
-        for i in of:
-            own[i].append((has.get(key, 0), key))
-    seeds = defaultdict(list)
-    for i, keys in own.items():
-        bar = max(sorted(k for k, _ in keys)[(len(keys) - 1) // 2], p.always)
-        for k, key in keys:
-            if k <= bar:
-                seeds[key].append(i)
-    return dict(seeds)
+        if len(cluster) < 2 and m >= 3 * p.n:
+            continue  # a whole item at the least score has more seeds than one
+        low, high = max(0, int(cluster[0]) - m), min(len(ids), int(cluster[-1]) + m + p.n)
+        if at_most(item, ids[low:high]) / m < p.min_score:
+            continue
+        value, end, begin = local_alignment(item, ids[low:high])
+        score = value / m
+        if score >= p.min_score and (i not in best or score > best[i][1]):
+            best[i] = (items.ids[i], score, len(cluster), low + begin, low + end - 1)
+    return [best[i] for i in sorted(best)]
 
 
 def find(docs: DataFrame, benchmark: DataFrame, params: Params = Params()) -> DataFrame:
@@ -211,7 +194,7 @@ def find(docs: DataFrame, benchmark: DataFrame, params: Params = Params()) -> Da
         block = read_items(rows, p)
         if not block.owners:
             continue
-        held = docs.sparkSession.sparkContext.broadcast(Finder(block, seeds_of(docs, block, p)))
+        held = docs.sparkSession.sparkContext.broadcast(Finder(block))
 
         def run(batch, held=held):
             got = [matches(held.value, t, p) for t in batch.column("text").to_pylist()]

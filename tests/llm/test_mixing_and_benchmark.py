@@ -125,6 +125,21 @@ def test_items_copied_into_many_documents(spark):
     assert decontaminate.contaminated(docs, bench).count() == 50
 
 
+def replaced(words, at):
+    return " ".join(f"changed{i}" if i in at else w for i, w in enumerate(words))
+
+
+def test_edited_passage_in_any_number_of_documents(spark):
+    """Copies with one word in five replaced are found whether 3, 4 or 1000 documents hold them."""
+    item = [f"word{i}" for i in range(40)]
+    passage = replaced(item, range(3, 40, 5))
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    for n in (3, 4, 1000):
+        docs = spark.createDataFrame([(i, f"before it {passage} after {i}") for i in range(n)], "doc_id long, text string")
+        got = decontaminate.contaminated(docs, bench).collect()
+        assert {r.doc_id for r in got} == set(range(n)) and {r.score for r in got} == {0.7}
+
+
 def alignment_by_hand(a, b):
     h, best = np.zeros((len(a) + 1, len(b) + 1)), 0.0
     for i, x in enumerate(a, 1):
