@@ -167,8 +167,6 @@ def matches(finder: Finder, text: str | None, p: Params) -> list[tuple]:
     for i, cluster in finder.clusters(ids):
         item = items.words[i]
         m = len(item)
-        if len(cluster) < 2 and m >= 3 * p.n:
-            continue  # a whole item at the least score has more seeds than one
         low, high = max(0, int(cluster[0]) - m), min(len(ids), int(cluster[-1]) + m + p.n)
         if at_most(item, ids[low:high]) / m < p.min_score:
             continue

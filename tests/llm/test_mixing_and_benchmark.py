@@ -140,6 +140,14 @@ def test_edited_passage_in_any_number_of_documents(spark):
         assert {r.doc_id for r in got} == set(range(n)) and {r.score for r in got} == {0.7}
 
 
+def test_short_items_with_one_seed_left(spark):
+    """15 words of which runs of 3, 2, 2, 2 and 2 stay: one 3-gram is left and the score is (11 - 2) / 15."""
+    item = [f"word{i}" for i in range(15)]
+    docs = spark.createDataFrame([(1, f"before {replaced(item, (3, 6, 9, 12))} after"), (2, "only word0 word1 word2 here")], "doc_id long, text string")
+    got = decontaminate.contaminated(docs, spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id, r.score, r.n_seeds) for r in got] == [(1, 7, 0.6, 1)]
+
+
 def alignment_by_hand(a, b):
     h, best = np.zeros((len(a) + 1, len(b) + 1)), 0.0
     for i, x in enumerate(a, 1):
