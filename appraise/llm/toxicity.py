@@ -15,6 +15,10 @@ Training uses a bounded, repeatable sample of labelled rows, cut into shards who
 states are averaged each round. Because the softmax is linear in the mean, scoring
 needs one number per word (its logit difference) and a moving mean.
 
+Words are cut at ASCII blanks. One of more than ``LONG`` characters (a text in a script
+without blanks, words joined by other signs) is cut into overlapping pieces that count
+as a word each, so all of it is read and a few characters in it aren't diluted either.
+
 Defined results: null and empty texts, and those without a word, score with the
 intercept alone; without labels of both classes every score is 0; a row's
 score depends on its text alone; a document labelled more than once counts with
@@ -23,6 +27,7 @@ its highest label.
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
 from functools import partial
 
@@ -38,6 +43,10 @@ from appraise.llm.quality_model import _hash64, _sigmoid, training_rows
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
+LONG, PIECE, STEP = 64, 24, 12
+"""Words of more than ``LONG`` characters are cut into pieces of ``PIECE``, one each ``STEP`` (any 12 characters are whole in one)."""
+
+
 @dataclass(frozen=True)
 class Params:
     bits: int = 17
@@ -58,25 +67,35 @@ class Params:
 
 
 def tokens(text: str | None) -> list[str]:
-    """Lower-cased words without symbols at their ends."""
-    return [w for w in (x.strip(_EDGES) for x in split_words(text.lower())) if w] if text else []
+    """Lower-cased words without symbols at their ends, between marks for these; long ones in pieces."""
+    if not text:
+        return []
+    return [t for w in (x.strip(_EDGES) for x in split_words(text.lower())) if w for t in pieces(w)]
+
+
+def pieces(word: str) -> list[str]:
+    padded = f"<{word}>"
+    if len(word) <= LONG:
+        return [padded]
+    return [padded[i : i + PIECE] for i in range(0, len(padded) - PIECE + STEP, STEP)]
 
 
-def rows_of(word: str, p: Params) -> list[int]:
-    """Embedding rows of a word: itself and its character n-grams."""
-    padded = f"<{word[:64]}>"
+def rows_of(token: str, p: Params) -> list[int]:
+    """Embedding rows of a token: itself and its character n-grams."""
     mask = (1 << p.bits) - 1
-    out = [_hash64(padded) & mask]
+    out = [_hash64(token) & mask]
     for n in p.grams:
-        out += [_hash64(padded[i : i + n]) & mask for i in range(len(padded) - n + 1)]
+        out += [_hash64(token[i : i + n]) & mask for i in range(len(token) - n + 1)]
     return out
 
 
 def word_matrix(words: list[str], p: Params) -> tuple[np.ndarray, np.ndarray]:
     """Flat embedding rows of all words and the start of each word's part."""
-    rows = [rows_of(w, p) for w in words]
-    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-    return np.fromiter((r for own in rows for r in own), np.int64, int(sizes.sum())), np.cumsum(sizes) - sizes
+    flat, starts = array("q"), np.zeros(len(words), np.int64)
+    for i, w in enumerate(words):
+        starts[i] = len(flat)
+        flat.extend(rows_of(w, p))
+    return np.frombuffer(flat, np.int64), starts
 
 
 def window_means(x: np.ndarray, size: int) -> np.ndarray:
@@ -227,10 +246,11 @@ class Scorer:
         if len(self.of) > self.keep:
             self.of = {}
         unseen = list(dict.fromkeys(w for d in docs for w in d if w not in self.of))
-        if unseen:
-            flat, starts = word_matrix(unseen, self.p)
+        for k in range(0, len(unseen), 20_000):
+            some = unseen[k : k + 20_000]
+            flat, starts = word_matrix(some, self.p)
             sizes = np.diff(np.append(starts, len(flat)))
-            self.of.update(zip(unseen, (np.add.reduceat(self.row_logit[flat], starts) / sizes).tolist(), strict=True))
+            self.of.update(zip(some, (np.add.reduceat(self.row_logit[flat], starts) / sizes).tolist(), strict=True))
         out = np.empty(len(docs))
         for i, d in enumerate(docs):
             x = np.fromiter(map(self.of.__getitem__, d), float, len(d))

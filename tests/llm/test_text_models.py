@@ -84,6 +84,23 @@ def test_toxic_words_and_misspellings(spark):
     assert got == {0: 0, 1: 1, 2: 1, 3: got[3], 4: got[3]}
 
 
+
+def test_toxic_words_in_texts_without_blanks(spark):
+    """All of a long word is read: insults far behind its 64th character raise the score, whatever joins the words."""
+    rows = toxic_rows(spark)
+    p = toxicity.Params(bits=12, rounds=2)
+    model = toxicity.train(rows.select("doc_id", "text"), rows.select("doc_id", "toxic"), params=p)
+    plain, insults = ["river", "table", "garden", "cloud"] * 10, ["blockhead", "numbskull", "scoundrel"]
+    texts = [j.join(w) for j in (",", "\u3000", "\u00a0", "_", "") for w in (plain, plain + insults + plain)]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score(asked, model, p).collect()}
+    assert [got[i].predicted for i in range(len(texts))] == [0, 1] * 5
+    for n in (64, 65, 66, 76, 77, 200):
+        word = "".join(chr(0x4E00 + i) for i in range(n))
+        grams = {t[i : i + 5] for t in toxicity.tokens(word) for i in range(len(t) - 4)}
+        assert grams == {f"<{word}>"[i : i + 5] for i in range(n - 2)}
+
+
 def test_models_without_labels(spark):
     docs, none = odd_docs(spark), spark.createDataFrame([], "doc_id long, quality int, toxic int")
     w = quality_model.train(docs, none)
