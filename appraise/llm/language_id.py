@@ -1,7 +1,7 @@
 """Operator 1: language identification by word-first backoff.
 
 Training counts words and padded character n-grams (orders 5 to 1) per language
-on a bounded sample of labelled texts. A known word scores with its
+on a bounded sample of distinct labelled texts. A known word scores with its
 per-language log frequency. An unseen word falls back to the longest n-gram
 order of which the model knows at least one n-gram, then to the next shorter one;
 the mean log frequency of its known n-grams counts. A text's language is the
@@ -36,7 +36,7 @@ _LETTERS = re.compile(r"[^\W\d_]+").findall
 @dataclass(frozen=True)
 class Params:
     rows_per_language: int = 500
-    """About so many labelled texts of each language are counted (a hash of the text chooses them)."""
+    """About so many distinct texts of each language are counted, once each (a hash of the text chooses them)."""
     words_per_language: int = 20_000
     grams_per_language: int = 4_000
     """Of each order."""
@@ -133,14 +133,16 @@ def grams(padded: str, n: int) -> list[str]:
 def train(labelled: DataFrame, params: Params = Params()) -> Model:
     """Fit on the columns ``text`` and ``lang`` of ``labelled`` (rows with a null in either are left out)."""
     rows = labelled.select("text", "lang").where("text is not null and lang is not null")
-    n = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # Copies of a text are chosen together, so distinct texts are what the rate counts; hashes of them are enough for that.
+    distinct = rows.select("lang", F.xxhash64("text").alias("h")).distinct()
+    n = {r["lang"]: r["n"] for r in distinct.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(n)
     if not languages:
         return Model([], {}, params)
     share = F.lit(0.0)
     for lang in languages:
         share = F.when(F.col("lang") == lang, params.rows_per_language / n[lang]).otherwise(share)
-    sample = rows.where(below(F.col("text"), share))
+    sample = rows.where(below(F.col("text"), share)).distinct()
     orders = params.orders
 
     def count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

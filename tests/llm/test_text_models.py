@@ -49,6 +49,22 @@ def test_language_of_odd_rows(spark):
     assert language_id.identify(rows.where("false"), model).count() == 0
 
 
+def test_languages_of_many_copies(spark):
+    """A language whose rows are mostly copies is read in full, each text once."""
+    few = [(f"zwei{'abcdefgh'[i % 8]} drei{'klmnopqr'[i // 8]}", "de") for i in range(40)]
+    many = [(" ".join(f"w{'abcdefghij'[int(d)]}" for d in str(i)), "en") for i in range(2000)]
+    rows = spark.createDataFrame(few, "text string, lang string").crossJoin(spark.range(500)).drop("id")
+    rows = rows.unionByName(spark.createDataFrame(many, "text string, lang string"))
+    p = language_id.Params(smoothing=1.0, rows_per_language=500)
+    model = language_id.train(rows, p)
+    words, matrix = model.table[0]
+    de = model.languages.index("de")
+    assert {w for t, _ in few for w in t.split()} <= set(words)
+    # 80 words in all: zwei.. 5 times each, drei.. 8 times.
+    total = np.exp(matrix[:, de]) * (80 + len(words) + 1) - 1
+    assert round(total[words.index("zweia")]) == 5 and round(total[words.index("dreik")]) == 8
+
+
 @pytest.mark.parametrize(("name", "label", "least"), [("op3_quality_classifier", "quality", 0.95), ("op5_toxicity", "toxic", 0.6)])
 def test_held_out_labels(spark, name, label, least):
     labels = spark.read.parquet(f"{SF_MID}/labels.parquet")
