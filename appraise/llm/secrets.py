@@ -6,12 +6,16 @@ The method adds kinds that are reported only after their structure was decoded:
 * ``jwt``: three base64url parts of which the first decodes to a JSON object
   with a text ``alg`` and the second to a JSON object (a signed-token header);
 * ``pem``: an armoured private key whose body is base64 and whose bytes are one
-  DER sequence with exact nested lengths, or an OpenSSH key;
+  DER sequence with exact nested lengths, or an OpenSSH key, or, where its header
+  lines name a cipher, whole blocks of that cipher; line ends may be escaped;
 * ``der64`` / ``derhex``: a base64 or hex run that decodes to a DER sequence with
   exact nested lengths that holds an integer, bit string or octet string;
-* ``ssh``: a base64 run that decodes to length-prefixed fields starting with a
+* ``ssh``: a base64 or hex run that decodes to length-prefixed fields starting with a
   key type, as in public and private SSH keys.
 
+A base64 run is a word, or lines of one width and a last one of at most that (line ends
+may be escaped) that don't follow an armour line; hex may mix upper and lower case.
+
 Spans are code point offsets, end exclusive. Defined results: a null or empty
 text has no spans; repeated rows are scanned one by one; overlapping kinds are
 all reported; within a kind matches don't overlap.
@@ -38,9 +42,18 @@ _ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
-_PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+_EOL = r"(?:\s|\\+[rn])"
+_PEM = re.compile(
+    rf"-----BEGIN ([A-Z ]*PRIVATE KEY)-----{_EOL}*+((?:[A-Za-z][A-Za-z-]*+:[^\r\n\\]*+{_EOL}++)*+)((?:[A-Za-z0-9+/=]|{_EOL})++)-----END \1-----"
+)
+_DEK = re.compile(r"DEK-Info:\x20*(AES-[0-9]+|DES-EDE3|DES)-[A-Z0-9]+,((?:[0-9A-Fa-f]{2})+)")
+_ARMOUR = re.compile(rf"-----BEGIN [^-]*+-----{_EOL}*+\Z")
 _B64 = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
-_ANYHEX = re.compile(r"(?:[0-9a-f]{2}){24,}|(?:[0-9A-F]{2}){24,}")
+_LINE_END = r"(?:\r?\n|(?:\\+r)?\\+n)[\x20\t]*+"
+_LINES = re.compile(rf"(?:(?<=\\[rn])|(?<![A-Za-z0-9+/_\\-]))[A-Za-z0-9+/_-]{{32,}}+(?:{_LINE_END}[A-Za-z0-9+/_-]++)+={{0,2}}")
+_LINE = re.compile(r"(?:(?<=\\[rn])|(?<![A-Za-z0-9+/_\\-]))[A-Za-z0-9+/_-]+={0,2}")
+_ANYHEX = re.compile(r"(?:[0-9A-Fa-f]{2}){24,}")
+_ONE_CASE = re.compile(r"(?:[0-9a-f]{2}){24,}|(?:[0-9A-F]{2}){24,}")
 _KEY_TYPES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-", b"sk-ssh-ed25519")
 _OPENSSH = b"openssh-key-v1\x00"
 
@@ -117,6 +130,61 @@ def is_ssh_key(data: bytes | None) -> bool:
     return at == len(data) and len(fields) >= 2 and fields[0].startswith(_KEY_TYPES)
 
 
+def key_kind(data: bytes | None, der: str) -> str | None:
+    return der if is_der_key(data) else "ssh" if is_ssh_key(data) else None
+
+
+def is_armoured_key(headers: str, body: str) -> bool:
+    data = decode64(re.sub(rf"{_EOL}+", "", body))
+    if is_der_key(data) or is_ssh_key(data):
+        return True
+    dek = _DEK.search(headers)
+    block = 16 if dek and dek[1].startswith("AES") else 8
+    return bool(dek and data) and len(dek[2]) == 2 * block and len(data) % block == 0
+
+
+def _may_start(line: str) -> bool:
+    """Whether the first line of a run starts as a DER sequence or an SSH key does."""
+    data = decode64(line[: len(line) // 4 * 4]) or b""
+    size = int.from_bytes(data[:4], "big")
+    return data.startswith((b"\x30", _OPENSSH)) or data[4 : 4 + size].startswith(_KEY_TYPES)
+
+
+def wrapped_keys(text: str) -> list[tuple[int, int, str]]:
+    """Keys whose base64 is wrapped: lines of one width and a last one of at most that."""
+    out = []
+    for m in _LINES.finditer(text):
+        if _ARMOUR.search(text[max(0, m.start() - 200) : m.start()]):
+            continue
+        lines = [x.span() for x in _LINE.finditer(text, *m.span())]
+        width = [b - a for a, b in lines]
+        upto = list(range(1, len(lines) + 1))  # the end of the lines of one width from each on
+        for i in range(len(lines) - 2, -1, -1):
+            if width[i] == width[i + 1]:
+                upto[i] = upto[i + 1]
+        i = 0
+        while i < len(lines):
+            first, found = text[slice(*lines[i])], 0
+            if width[i] >= 32 and _may_start(first):
+                for end in (upto[i] + 1, upto[i]):
+                    if end - i < 2 or end > len(lines) or width[end - 1] > width[i]:
+                        continue
+                    if first[0] == "M":  # a DER sequence tells its size, so only lines of that size are put together
+                        top = decode64(first[:12]) or b""
+                        k = top[1] & 0x7F if top[1] >= 0x80 else 0
+                        size = 2 + k + (int.from_bytes(top[2 : 2 + k], "big") if k else top[1])
+                        have = sum(width[i:end]) * 3 // 4
+                        if not have - 3 <= size <= have:
+                            continue
+                    kind = key_kind(decode64("".join(text[a:b] for a, b in lines[i:end])), "der64")
+                    if kind:
+                        out.append((lines[i][0], lines[end - 1][1], kind))
+                        found = end
+                        break
+            i = found or i + 1
+    return out
+
+
 def _json_object(part: str) -> dict | None:
     data = decode64(part)
     try:
@@ -147,16 +215,26 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
         out += [(*m.span(), "jwt") for m in _JWT.finditer(text) if is_signed_token(m[0])]
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
-            data = decode64(re.sub(r"\s+", "", m[2]))
-            if is_der_key(data) or is_ssh_key(data):
+            if is_armoured_key(m[2], m[3]):
                 out.append((*m.span(), "pem"))
+    wrapped = wrapped_keys(text)
+    out += wrapped
     for m in _B64.finditer(text):
-        data = decode64(m[0])
-        if is_der_key(data):
-            out.append((*m.span(), "der64"))
-        elif is_ssh_key(data):
-            out.append((*m.span(), "ssh"))
-    out += [(*m.span(), "derhex") for m in _ANYHEX.finditer(text) if is_der_key(bytes.fromhex(m[0]))]
+        start, run = m.start(), m[0]
+        if any(a <= start < b for a, b, _ in wrapped):
+            continue
+        kind = key_kind(decode64(run), "der64")
+        if not kind and run[0] in "nr" and text[start - 1 : start] == "\\":  # the letter belongs to an escaped line end
+            start, kind = start + 1, key_kind(decode64(run[1:]), "der64")
+        if kind and not any(a < m.end() and start < b for a, b, _ in wrapped):
+            out.append((start, m.end(), kind))
+    for m in _ANYHEX.finditer(text):
+        kind = key_kind(bytes.fromhex(m[0]), "derhex")
+        if kind:
+            out.append((*m.span(), kind))
+        else:
+            found = ((*x.span(), key_kind(bytes.fromhex(x[0]), "derhex")) for x in _ONE_CASE.finditer(text, *m.span()))
+            out += [x for x in found if x[2]]
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

@@ -95,6 +95,40 @@ def test_confirmed_kinds():
     assert [s[2] for s in secrets.scan("ssh-ed25519 " + base64.b64encode(ssh).decode())] == ["ssh"]
 
 
+
+def wrap(run: str, end: str = "\n", width: int = 64) -> str:
+    return end.join(run[i : i + width] for i in range(0, len(run), width))
+
+
+def test_keys_as_they_are_found_in_files():
+    run, ssh = base64.b64encode(KEY).decode(), b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-ed25519", bytes(range(32))))
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+
+    def kinds(text):
+        return [s[2] for s in secrets.scan(text)]
+
+    for eol in ("\\n", "\\r\\n", "\\\\n", "\r\n"):
+        pem = f"{begin}{eol}{wrap(run, eol)}{eol}{end}"
+        text = '{"private_key": "' + pem + eol + '"}'
+        assert (text.index(pem), text.index(pem) + len(pem), "pem") in secrets.scan(text)
+        assert secrets.scan(f"k {wrap(run, eol)} k") == [(2, 2 + len(wrap(run, eol)), "der64")]
+    assert "pem" in kinds(f"{begin}\nComment: my key\n\n{wrap(run)}\n{end}")
+    sealed = f"Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,{'0A' * 16}\n\n{wrap(base64.b64encode(bytes(range(160))).decode())}"
+    assert "pem" in kinds(f"{begin}\n{sealed}\n{end}")
+    assert "pem" in kinds(f"{begin}\n{sealed}\n{end}".replace("\n", "\\n"))
+    assert "pem" not in kinds(f"{begin}\n{sealed.replace('Proc-Type', 'x').replace('DEK-Info', 'y')}\n{end}")
+    assert kinds(f"{'q' * 70}\n{wrap(run)}\n{wrap(run)}\nand then") == ["der64", "der64"]
+    assert kinds(f"x\\n{run}\\n") == ["der64"]
+    assert kinds(wrap(base64.b64encode(KEY[:-1]).decode())) == []
+    assert kinds(f"-----BEGIN CERTIFICATE-----\n{wrap(run)}\n-----END CERTIFICATE-----") == []
+    mixed = "".join(c.upper() if i % 3 else c for i, c in enumerate(KEY.hex()))
+    assert "derhex" in kinds(f"k {mixed} k")
+    assert "derhex" in kinds(f"k {KEY.hex()}AB k")
+    assert "ssh" in kinds(f"k {ssh.hex()} k") and "ssh" in kinds(f"k {ssh.hex().upper()} k")
+    for text in ("\n" * 50_000, ("A" * 64 + "\n") * 20_000, ("MA" * 32 + "\n") * 5_000, "\\n" * 50_000):
+        assert secrets.scan(begin + text) == []
+
+
 def test_masking(spark):
     docs = sample_docs(spark)
     got = secrets.mask_documents(docs)
