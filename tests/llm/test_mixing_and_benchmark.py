@@ -77,6 +77,40 @@ def test_blocks_and_slots(spark):
     assert mixing.assemble(m).count() == len(slots.merge(pieces, on=["s", "block"]))
 
 
+
+def test_small_sources_meet_their_targets(spark):
+    """Every source ends within a word of its target, also a long tail of sources of less than a block."""
+    rows = [(i, f"s{i:03d}", " ".join(["w"] * 50)) for i in range(90)] + [(100 + i, "z", " ".join(["w"] * (i * 7))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    for block in (128, 32):
+        m = mixing.mix(docs, block=block)
+        got = mixing.taken(m).toPandas()
+        own = got.groupby("source").agg({"taken": "sum", "target": "first"})
+        assert (abs(own.taken - own.target) <= 0.5).all() and len(own) == 91
+        assert mixing.assemble(m).groupBy().sum("n").first()[0] == own.taken.sum()
+
+
+def test_places_in_permutations():
+    for n in (1, 2, 3, 7, 64, 1000):
+        assert [mixing.place_of(int(b), n, 5) for b in mixing.permuted(np.arange(n), n, 5)] == list(range(n))
+
+
+def test_quotas_by_hand():
+    rng = np.random.default_rng(3)
+    for _ in range(500):
+        block = int(rng.integers(1, 9))
+        size = np.array([int(rng.integers(1, 60))])
+        target = rng.uniform(0, 3 * size)
+        blocks = -(-size // block)
+        quota, last = mixing.quotas(size, blocks, target, block, 20)
+        n, words = int(blocks[0]), 0
+        for k in range(int(quota[0])):
+            b = int(mixing.permuted(np.array([k % n]), n, mixing.key_of(20, 0, k // n))[0])
+            own = min(block, int(size[0]) - b * block)
+            words += min(own, int(last[0])) if k == quota[0] - 1 else own
+        assert words == round(float(target[0]))
+
+
 def test_mix_of_nothing(spark):
     assert mixing.taken(mixing.mix(odd_docs(spark).where("false"))).count() == 0
     blank = mixing.taken(mixing.mix(odd_docs(spark).where("doc_id in (900001, 900002)"))).collect()
