@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appraise.llm import decontaminate, jaccard, language_id, mixing, quality_model, quality_rules, secrets, substrings, token_counts, toxicity
+from appraise.llm import (
+    decontaminate,
+    filter_audit,
+    jaccard,
+    language_id,
+    mixing,
+    prefix_trie,
+    quality_model,
+    quality_rules,
+    secrets,
+    substrings,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from appraise.llm.common import documents, fold, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +109,26 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+@register("op11_filter_audit", filter_audit.oracle())
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove per language, in every order and at every step."""
+    return filter_audit.corpus_audit(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@register("op12_token_files")
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to files of Huffman codes and read back."""
+    import public_tokenizers
+
+    return token_files.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register("op13_prefix_trie")
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shared beginning of the rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 
