@@ -27,9 +27,11 @@ from __future__ import annotations
 
 import io
 import json
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
@@ -48,7 +50,7 @@ LIMIT = 20
 BLOCK = 256
 RUN = 1 << 20
 SHARD_IDS, SHARD_DOCS, LEAST_IDS = 1 << 28, 1 << 22, 1 << 16
-KNOWN = 400_000
+KNOWN = 350_000
 MAGIC = b"idfile01"
 _TAIL = struct.Struct("<QQQ8s")
 
@@ -56,42 +58,86 @@ _TAIL = struct.Struct("<QQQ8s")
 # ---- texts to ids
 
 
+# A tokenizer of this form takes lower-cased runs of letters as pieces and hands their bytes, as visible characters, to the merges.
+LOWER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u024f]+)([^\\w\\s'<>\x00-\x1f\x7f-\U0010ffff]*)")
+"""Latin letters whose lower case stands alone, then signs that are one piece."""
+
+
 class WordEncoder:
     """Ids of texts by a tokenizer whose pieces never reach over white space; ids of words met before are kept.
 
     True for tokenizers that drop white space and whose normalization works on single characters or
-    combining sequences. Words are encoded by the library, alone: a word gives the same ids in any text. A word of ASCII
-    letters and a final full stop or comma is looked up in lower case without its sign.
+    combining sequences. A word alone gives the same ids as in any text, so words are encoded by the library one at a time. Where
+    the tokenizer has the form above, Latin letters go straight to its merges, and the signs behind them apart.
     """
 
     def __init__(self, model: str, wide: bool):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.type, self.known = Tokenizer.from_str(model), np.dtype("<u4" if wide else "<u2"), {}
-
-    def _pieces(self, word: bytes) -> list[bytes]:
-        core, sign = (word[:-1], word[-1:]) if word[-1:] in (b".", b",") else (word, b"")
-        if core.isalpha():  # ASCII letters only: bytes
-            return [core.lower(), sign] if sign else [core.lower()]
-        return [word]
+        self.tokenizer, self.type = Tokenizer.from_str(model), "I" if wide else "H"
+        self.known, self.older = {}, {}  # words met since the last change of generations, and before
+        form = json.loads(model)
+        before, pieces = (form[k] or {} for k in ("normalizer", "pre_tokenizer"))
+        first, *rest = pieces.get("pretokenizers") or [{}]
+        self.plain = (
+            before.get("normalizers") == LOWER
+            and (first.get("pattern"), first.get("invert"), first.get("behavior")) == ({"Regex": SPLIT}, True, "Removed")
+            and [(x["type"], x["add_prefix_space"], x["use_regex"]) for x in rest] == [("ByteLevel", False, False)]
+        )
+        seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.visible = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in seen)}
+        self.merge = self.tokenizer.model.tokenize
+
+    def _piece(self, text: str, word: bytes) -> bytes:
+        """Ids of one piece, given as text and as bytes."""
+        out = self.known.get(word) or self.older.get(word)
+        if out is None:
+            shown = text if len(text) == len(word) else word.decode("latin-1").translate(self.visible)
+            out = array(self.type, [t.id for t in self.merge(shown)]).tobytes()
+        self.known[word] = out
+        return out
+
+    def _word(self, word: bytes) -> bytes:
+        out = self.known.get(word) or self.older.get(word)
+        if out is not None:
+            self.known[word] = out
+            return out
+        text = word.decode()
+        got = LETTERS.fullmatch(text) if self.plain else None
+        if not got:
+            out = array(self.type, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        else:
+            core, signs = got[1].lower(), got[2]
+            out = self._piece(core, core.encode())
+            if signs:
+                out += self._piece(signs, signs.encode())
+        self.known[word] = out
+        return out
 
     def ids(self, text: str | None) -> bytes:
         found, known = byte_words(text), self.known
-        new = set(found).difference(known)
-        if new:
-            if len(known) > KNOWN:
-                known.clear()
-                new = set(found)
-            split = {w: self._pieces(w) for w in new}
-            todo = list({p for pieces in split.values() for p in pieces}.difference(known))
-            got = self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in todo], add_special_tokens=False)
-            known.update(zip(todo, (np.array(e.ids, self.type).tobytes() for e in got), strict=True))
-            for w, pieces in split.items():
-                known[w] = b"".join(map(known.__getitem__, pieces))
-        return b"".join(map(known.__getitem__, found))
+        if len(known) > KNOWN:
+            self.older, self.known = known, {}
+            known = self.known
+        out = list(map(known.get, found))
+        if None in out:
+            for i in [i for i, x in enumerate(out) if x is None]:
+                out[i] = self._word(found[i])
+        return b"".join(out)
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def word_encoder(model: str, wide: bool) -> WordEncoder:
+    """The worker process's encoder, with what it has learned from earlier tasks."""
+    if model not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[model] = WordEncoder(model, wide)
+    return _ENCODERS[model]
 
 
 def wide(tokenizer: str) -> bool:
@@ -104,15 +150,14 @@ def wide(tokenizer: str) -> bool:
 def encode(docs: DataFrame, tokenizer: str, big: bool, key: str = "doc_id", end: int = END) -> DataFrame:
     """Per row: the key, ``ids`` (little-endian, two bytes each, four for vocabularies over 65 536; the end id last) and ``row``."""
     spark = docs.sparkSession
-    held, own = spark.sparkContext.broadcast(Path(tokenizer).read_text(encoding="utf-8")), []
+    held = spark.sparkContext.broadcast(Path(tokenizer).read_text(encoding="utf-8"))
     schema = pa.schema([("key", pa.int64()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not own:
-            own.append(WordEncoder(held.value, big))
-        last = np.array([end], own[0].type).tobytes()
+        own = word_encoder(held.value, big)
+        last = array(own.type, [end]).tobytes()
         for batch in batches:
-            ids = [own[0].ids(t) + last for t in batch.column("text").to_pylist()]
+            ids = [own.ids(t) + last for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(ids, pa.binary())], schema=schema)
 
     read = docs.select(F.col(key).cast("long").alias("key"), "text")
