@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+from dataclasses import replace
 
 from appraise.ml import models as M
 from appraise.plans.job import JobConfig, run_job
@@ -14,7 +15,7 @@ from .conftest import SF_SMALL
 def test_job_all_stages(spark, scratch):
     out = os.path.join(scratch, "out")
     cfg = JobConfig(sf_dir=SF_SMALL, out_dir=out, run_date="2001-09-01",
-                    models={"lgbm": M.quick(M.MODEL_A, 3, 2), "xgboost": M.quick(M.MODEL_B, 3, 2)},
+                    models={"lgbm": replace(M.MODEL_A, trees=3, leaves=8), "xgboost": replace(M.MODEL_B, trees=3, depth=2)},
                     backtest_model="group_mean")
     state = run_job(spark, cfg)
     doc = json.loads(spark.read.text(os.path.join(out, "reports", "date=2001-09-01", "analytics_json")).first()[0])
