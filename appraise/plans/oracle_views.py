@@ -48,8 +48,8 @@ series AS (
 points AS (
   SELECT CAST(c_custkey AS VARCHAR) AS block,
          'STREET ' || CAST(c_nationkey AS VARCHAR) AS street_name,
-         CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE 1.22 + CAST(c_custkey * 37 % 250 AS DOUBLE) / 1000.0 END AS latitude,
-         CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE 103.6 + CAST(c_custkey * 91 % 400 AS DOUBLE) / 1000.0 END AS longitude,
+         CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE 1.22 + CAST(c_custkey * 7919 % 100003 AS DOUBLE) / 400012.0 END AS latitude,
+         CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE 103.6 + CAST(c_custkey * 104729 % 100019 AS DOUBLE) / 250047.5 END AS longitude,
          lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS postal_code
   FROM customer)""",
     "refs": """

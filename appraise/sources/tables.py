@@ -139,15 +139,15 @@ def monthly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def building_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Buildings (FIXTURES 1.5): one per customer; every 7th has no coordinates."""
+    """Buildings (FIXTURES 1.5): one per customer, each at a place of its own; every 7th has no coordinates."""
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     k = F.col("c_custkey")
     missing = k % 7 == 0
     return cu.select(
         k.cast("string").alias("block"),
         F.concat(F.lit("STREET "), F.col("c_nationkey").cast("string")).alias("street_name"),
-        F.when(missing, F.lit(None)).otherwise(F.lit(1.22) + (k * 37 % 250).cast("double") / 1000.0).alias("latitude"),
-        F.when(missing, F.lit(None)).otherwise(F.lit(103.6) + (k * 91 % 400).cast("double") / 1000.0).alias("longitude"),
+        F.when(missing, F.lit(None)).otherwise(F.lit(1.22) + (k * 7919 % 100003).cast("double") / 400012.0).alias("latitude"),
+        F.when(missing, F.lit(None)).otherwise(F.lit(103.6) + (k * 104729 % 100019).cast("double") / 250047.5).alias("longitude"),
         F.lpad(k.cast("string"), 6, "0").alias("postal_code"),
     )
 
