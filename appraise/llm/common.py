@@ -69,6 +69,14 @@ def below(key: Column, share: Column | float, seed: int = 0) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 30)) < share * (1 << 30)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of the table has it (in any case)."""
+    used = {c.lower() for c in df.columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

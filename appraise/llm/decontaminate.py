@@ -177,15 +177,14 @@ def matches(finder: Finder, text: str | None, p: Params) -> list[tuple]:
     return [best[i] for i in sorted(best)]
 
 
-def find(docs: DataFrame, benchmark: DataFrame, params: Params = Params()) -> DataFrame:
-    """Add ``matches`` (item_id, score, n_seeds, first_word, last_word) to every row of ``docs``; other columns stay."""
+def find(docs: DataFrame, benchmark: DataFrame, params: Params = Params(), into: str = "matches") -> DataFrame:
+    """Add the column ``into`` (item_id, score, n_seeds, first_word, last_word) to every row of ``docs``; other columns stay."""
     p = params
     items = benchmark.select("item_id", "text").where("text is not null")
     total = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-total // p.block_chars))
-    docs = docs.drop("matches")
     none = F.array().cast(MATCHES)
-    out = docs.withColumn("matches", none)
+    out = docs.drop(into).withColumn(into, none)
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
         rows.sort(key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
@@ -197,8 +196,8 @@ def find(docs: DataFrame, benchmark: DataFrame, params: Params = Params()) -> Da
         def run(batch, held=held):
             got = [matches(held.value, t, p) for t in batch.column("text").to_pylist()]
             names = MATCHES.elementType.names
-            old = batch.column("matches").to_pylist()
-            return {"matches": [(o or []) + [dict(zip(names, m, strict=True)) for m in g] for o, g in zip(old, got, strict=True)]}
+            old = batch.column(into).to_pylist()
+            return {into: [(o or []) + [dict(zip(names, m, strict=True)) for m in g] for o, g in zip(old, got, strict=True)]}
 
         out = map_batches(out, run, out.schema)
     return out

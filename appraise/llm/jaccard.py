@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from appraise.llm import chunks as C
-from appraise.llm.common import map_batches, saved
+from appraise.llm.common import free_name, map_batches, saved
 from appraise.llm.components import components
 
 RINGS = 32
@@ -298,12 +298,12 @@ def representatives(docs: DataFrame, key: str = "doc_id", size: int = 5, percent
     """The rows of ``docs`` without near copies: of each component the one with the least key (then least digest of the
     text) stays. Rows without a word all stay."""
     spark, columns = docs.sparkSession, docs.columns
+    k, digest = free_name(docs, "_k"), free_name(docs, "digest")
     groups = grouped(docs, key, size, percent).where("n > 0")
-    chosen = groups.groupBy("top").agg(F.min(F.struct("_k", "digest")).alias("x")).select("x._k", "x.digest").distinct()
-    chosen = saved(spark, chosen, "representatives")
+    chosen = groups.groupBy("top").agg(F.min(F.struct("_k", "digest")).alias("x"))
+    chosen = saved(spark, chosen.select(F.col("x._k").alias(k), F.col("x.digest").alias(digest)).distinct(), "representatives")
     text = F.coalesce("text", F.lit(""))
-    marked = docs.withColumn("_k", F.coalesce(F.col(key).cast("long"), F.lit(C.LAST)))
     has_word = text.rlike(r"[^\x20\x09-\x0D]")
-    rows = marked.where(has_word).withColumn("digest", F.md5(text.cast("binary")))
-    rows = rows.join(chosen, ["_k", "digest"], "left_semi").dropDuplicates(["_k", "digest"])
-    return rows.select(*columns).unionByName(marked.where(~has_word).select(*columns))
+    rows = docs.where(has_word).withColumns({k: F.coalesce(F.col(key).cast("long"), F.lit(C.LAST)), digest: F.md5(text.cast("binary"))})
+    rows = rows.join(chosen, [k, digest], "left_semi").dropDuplicates([k, digest])
+    return rows.select(*columns).unionByName(docs.where(~has_word).select(*columns))

@@ -184,13 +184,13 @@ def train(labelled: DataFrame, params: Params = Params()) -> Model:
     return Model(languages, table, params)
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """Add ``lang_pred`` and ``score`` to the rows of ``docs``, judged by ``text`` alone.
+def identify(docs: DataFrame, model: Model, pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """Add the columns ``pred`` and ``score`` to the rows of ``docs``, judged by ``text`` alone.
 
     Other columns are kept as they are; columns of the two names are replaced.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(pred, score)
     own: list[Scorer] = []
 
     def run(batch):
@@ -198,7 +198,6 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             own.append(Scorer(held.value))
         texts = batch.column("text").to_pylist()
         parts = [own[0](texts[i : i + 200]) for i in range(0, len(texts), 200)]
-        langs, scores = [x for p, _ in parts for x in p], [x for _, p in parts for x in p]
-        return {"lang_pred": langs, "score": scores}
+        return {pred: [x for p, _ in parts for x in p], score: [x for _, p in parts for x in p]}
 
-    return map_batches(docs, run, T.StructType(list(docs.schema.fields)).add("lang_pred", "string").add("score", "double"))
+    return map_batches(docs, run, T.StructType(list(docs.schema.fields)).add(pred, "string").add(score, "double"))

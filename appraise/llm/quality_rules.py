@@ -5,8 +5,10 @@ per thousand words or lines) go into quantile sketches: log-linear histograms
 whose buckets are exact integers, 32 to each power of two, so a value is off by
 at most 1/32 of itself. Sketches of partitions, sources and languages merge by
 adding bucket counts; the same rows always give the same sketch. A group's upper
-fence for a rate is ``q75 + max(3 * (q75 - q25), slack)``, its lower fence (word
-length only) ``q25 - max(3 * (q75 - q25), slack)``. Groups of fewer than
+fence for a rate lies beyond an upper quantile of its sketch (``Rule.upper``) by ``REACH`` times that
+quantile's distance from the median, and what the sketch can't tell apart (one unit and a bucket): ``q + 3 * (q - q50) + 1 + q / 32``;
+the lower fence (word length only) mirrors it at the lower quantile. Rates that only junk raises are cut from the 90th
+percentile on (so up to a tenth of a group may be junk), rates that good texts raise too from the 99th. Groups of fewer than
 ``min_rows`` documents use the merged sketch of their language, and languages of
 fewer the sketch of all. The fences are joined back to the documents of the group.
 
@@ -31,12 +33,16 @@ SUB = 5
 """Bits below the leading one that a bucket keeps (32 buckets to each power of two)."""
 
 
+REACH = 3
+
+
 @dataclass(frozen=True)
 class Rule:
     rate: str
-    slack: int
-    """The least distance of a fence from its quartile, in the unit of the rate."""
+    upper: int
+    """Percentile from which the fence is measured."""
     lower: bool = False
+    """Whether there is a lower fence too, from the percentile ``100 - upper``."""
 
 
 RATES = {
@@ -47,12 +53,13 @@ RATES = {
     "stutters": "1000 * n_stutters div greatest(n_words, 1)",
 }
 RULES = (
-    Rule("word_length", 200, lower=True),
-    Rule("symbols", 200),
-    Rule("capitals", 1500),
-    Rule("dup_lines", 600),
-    Rule("stutters", 150),
+    Rule("word_length", 90, lower=True),
+    Rule("symbols", 90),
+    Rule("capitals", 99),
+    Rule("dup_lines", 99),
+    Rule("stutters", 99),
 )
+PERCENTILES = (10, 50, 90, 99)
 
 
 def base_counts(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
@@ -141,8 +148,8 @@ def merge(sketch: DataFrame, groups: tuple[str, ...]) -> DataFrame:
     return sketch.groupBy(*groups, "rate", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketch: DataFrame, groups: tuple[str, ...]) -> DataFrame:
-    """Per group and rate: number of rows and the lower edges of the quartiles' buckets."""
+def quantiles(sketch: DataFrame, groups: tuple[str, ...]) -> DataFrame:
+    """Per group and rate: number of rows and the lower edges of the buckets that hold ``PERCENTILES``."""
     own = W.partitionBy(*groups, "rate")
     ranked = sketch.select(
         *groups,
@@ -151,19 +158,25 @@ def quartiles(sketch: DataFrame, groups: tuple[str, ...]) -> DataFrame:
         F.sum("n").over(own).alias("rows"),
         F.sum("n").over(own.orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)).alias("upto"),
     )
-    return ranked.groupBy(*groups, "rate").agg(
-        F.max("rows").alias("rows"),
-        bucket_low(F.min(F.when(4 * F.col("upto") >= F.col("rows"), F.col("bucket")))).alias("q25"),
-        bucket_low(F.min(F.when(4 * F.col("upto") >= 3 * F.col("rows"), F.col("bucket")))).alias("q75"),
-    )
+    at = {p: F.min(F.when(100 * F.col("upto") >= p * F.col("rows"), F.col("bucket"))) for p in PERCENTILES}
+    return ranked.groupBy(*groups, "rate").agg(F.max("rows").alias("rows"), *[bucket_low(b).alias(f"q{p}") for p, b in at.items()])
+
+
+def sides(rule: Rule) -> dict[str, str]:
+    """The fences of a rule, in SQL over the percentiles."""
+    q, low = f"q{rule.upper}", f"q{100 - rule.upper}"
+    out = {"max": f"{q} + {REACH} * ({q} - q50) + 1 + {q} div 32"}
+    if rule.lower:
+        out["min"] = f"{low} - {REACH} * (q50 - {low}) - 1 - {low} div 32"
+    return out
 
 
 def fences(sketch: DataFrame, lang: str, source: str, min_rows: int) -> DataFrame:
     """One row per language and source with the fences of every rule, from the finest sketch of enough rows."""
 
     def level(groups: tuple[str, ...], tag: str) -> DataFrame:
-        q = quartiles(sketch if groups == (lang, source) else merge(sketch, groups), groups)
-        return q.withColumns({f"{c}_{tag}": F.col(c) for c in ("rows", "q25", "q75")}).drop("rows", "q25", "q75")
+        q = quantiles(sketch if groups == (lang, source) else merge(sketch, groups), groups)
+        return q.withColumnsRenamed({c: f"{c}_{tag}" for c in ("rows", *(f"q{p}" for p in PERCENTILES))})
 
     fine, mid, top = level((lang, source), "f"), level((lang,), "m"), level((), "t")
     mid = mid.withColumnsRenamed({lang: "_lang", "rate": "_rate"})
@@ -176,13 +189,11 @@ def fences(sketch: DataFrame, lang: str, source: str, min_rows: int) -> DataFram
             .otherwise(F.col(f"{c}_t"))
         )
 
-    got = got.select(lang, source, "rate", pick("q25").alias("q25"), pick("q75").alias("q75"))
+    got = got.select(lang, source, "rate", *[pick(f"q{p}").alias(f"q{p}") for p in PERCENTILES])
     cols = []
     for rule in RULES:
-        spread = F.greatest(3 * (F.col("q75") - F.col("q25")), F.lit(rule.slack).cast("long"))
-        cols.append(F.max(F.when(F.col("rate") == rule.rate, F.col("q75") + spread)).alias(f"max_{rule.rate}"))
-        if rule.lower:
-            cols.append(F.max(F.when(F.col("rate") == rule.rate, F.col("q25") - spread)).alias(f"min_{rule.rate}"))
+        for side, sql in sides(rule).items():
+            cols.append(F.max(F.when(F.col("rate") == rule.rate, F.expr(sql))).alias(f"{side}_{rule.rate}"))
     return got.groupBy(lang, source).agg(*cols)
 
 
@@ -222,29 +233,27 @@ def oracle(min_rows: int = 50) -> str:
         f"SELECT lang, source, '{r}' AS rate, {sql.replace('div', '//')} AS v FROM c WHERE NOT base_failed"
         for r, sql in RATES.items()
     )
-    level = """SELECT {g} rate, max(tot) AS rows, {low25} AS q25, {low75} AS q75 FROM (
+    level = """SELECT {g} rate, max(tot) AS rows, {lows} FROM (
         SELECT {g} rate, bucket, sum(n) OVER (PARTITION BY {g} rate) AS tot,
                sum(n) OVER (PARTITION BY {g} rate ORDER BY bucket) AS upto
         FROM (SELECT {g} rate, bucket, sum(n) AS n FROM sk GROUP BY {g} rate, bucket)) GROUP BY {g} rate"""
 
-    def low(b: str) -> str:
-        return f"CASE WHEN {b} < 32 THEN {b} ELSE ((32 + {b} % 32) << ({b} // 32 - 1)) END"
+    def low(p: int) -> str:
+        b = f"CAST(min(CASE WHEN 100 * upto >= {p} * tot THEN bucket END) AS BIGINT)"
+        return f"CASE WHEN {b} < 32 THEN {b} ELSE ((32 + {b} % 32) << ({b} // 32 - 1)) END AS q{p}"
 
-    low25 = low("CAST(min(CASE WHEN 4 * upto >= tot THEN bucket END) AS BIGINT)")
-    low75 = low("CAST(min(CASE WHEN 4 * upto >= 3 * tot THEN bucket END) AS BIGINT)")
-    f, m, t = (level.format(g=g, low25=low25, low75=low75) for g in ("lang, source, ", "lang, ", ""))
+    lows = ", ".join(map(low, PERCENTILES))
+    f, m, t = (level.format(g=g, lows=lows) for g in ("lang, source, ", "lang, ", ""))
     pick = "CASE WHEN f.rows >= {k} THEN f.{c} WHEN m.rows >= {k} THEN m.{c} ELSE t.{c} END AS {c}"
+    picks = ", ".join(pick.format(k=min_rows, c=f"q{p}") for p in PERCENTILES)
     cols, good, bounds = [], ["NOT base_failed"], []
     for r in RULES:
-        spread = f"greatest(3 * (q75 - q25), {r.slack})"
-        cols.append(f"max(CASE WHEN rate = '{r.rate}' THEN q75 + {spread} END) AS max_{r.rate}")
         rate = RATES[r.rate].replace("div", "//")
-        good.append(f"{rate} <= max_{r.rate}")
-        bounds.append(f"max_{r.rate}")
-        if r.lower:
-            cols.append(f"max(CASE WHEN rate = '{r.rate}' THEN q25 - {spread} END) AS min_{r.rate}")
-            good.append(f"{rate} >= min_{r.rate}")
-            bounds.append(f"min_{r.rate}")
+        for side, sql in sides(r).items():
+            sql = sql.replace("div", "//")
+            cols.append(f"max(CASE WHEN rate = '{r.rate}' THEN {sql} END) AS {side}_{r.rate}")
+            good.append(f"{rate} {'<=' if side == 'max' else '>='} {side}_{r.rate}")
+            bounds.append(f"{side}_{r.rate}")
     return rf"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
@@ -268,7 +277,7 @@ sk AS (SELECT lang, source, rate, bucket, count(*) AS n FROM (
                 (length(bin(v)) - 5) * 32 + (v >> (length(bin(v)) - 6)) - 32 END AS bucket FROM ({rates}))
        GROUP BY ALL),
 f AS ({f}), m AS ({m}), t AS ({t}),
-q AS (SELECT f.lang, f.source, f.rate, {pick.format(k=min_rows, c='q25')}, {pick.format(k=min_rows, c='q75')}
+q AS (SELECT f.lang, f.source, f.rate, {picks}
       FROM f JOIN m ON m.lang IS NOT DISTINCT FROM f.lang AND m.rate = f.rate JOIN t ON t.rate = f.rate),
 g AS (SELECT lang, source, {', '.join(cols)} FROM q GROUP BY lang, source)
 SELECT c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -241,3 +241,19 @@ def test_stages(spark, tmp_path):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF_SMALL).count() > 100
+
+
+def test_stages_leave_columns_of_the_caller(spark):
+    """Columns with the names that the operators use inside keep their values and types."""
+    import corpus_pipeline as P
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    mine = {"score": "'mine'", "lang_pred": "7L", "_k": "array('k')", "digest": "1.5D", "matches": "'none'", "n": "doc_id * 2", "size": "'big'", "LANG_PRED_": "3"}
+    rows = docs.selectExpr("*", *[f"{v} AS {c}" for c, v in mine.items()])
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, rows, SF_SMALL)
+        assert out.columns == rows.columns and out.schema.simpleString() == rows.schema.simpleString(), name
+        got = out.selectExpr(*mine, "doc_id").collect()
+        assert got and all((r.score, r.lang_pred, r["_k"], r.digest, r.matches, r.n, r["size"]) == ("mine", 7, ["k"], 1.5, "none", 2 * r.doc_id, "big") for r in got), name
+    for name, stage in P.STAGES:
+        assert stage(spark, docs.limit(0), SF_SMALL).collect() == [], name

@@ -150,3 +150,20 @@ def test_scan_of_documents(spark):
 @pytest.mark.parametrize("empty", [True])
 def test_rules_on_an_empty_table(spark, empty):
     assert quality_rules.judge(spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("false")).count() == 0
+
+
+def test_fences_come_from_the_sketches(spark):
+    """The same text is kept among its like and goes where it stands out; no fixed cutoff decides."""
+    words = [f"word{i}" for i in range(100)]
+    prose = [(i, " ".join(words[(i * 7 + j * 13) % 100] for j in range(60)), "en", "prose") for i in range(200)]
+    code = [(1000 + i, " ".join((words[(i * 7 + j * 13) % 100][:-1] + ("$" if j % (3 + i % 3) else "x")) for j in range(60)), "en", "code") for i in range(200)]
+    stray = [(5000, code[3][1], "en", "prose"), (5001, prose[3][1], "en", "code")]
+    docs = spark.createDataFrame(prose + code + stray, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
+    assert not got[5000].kept and got[5001].kept
+    assert sum(r.kept for k, r in got.items() if k < 5000) == 400
+    assert got[0].max_symbols <= 2 and got[1000].max_symbols > 700
+    # One text in ten may be junk: the fence stays with the others.
+    mixed = spark.createDataFrame(prose + [(k + 8000, t, "en", "prose") for k, t, *_ in code[:18]], docs.schema)
+    kept = {r.doc_id for r in quality_rules.judge(mixed).where("kept").collect()}
+    assert kept == {k for k, *_ in prose}
