@@ -6,7 +6,9 @@
 4. ``secrets``: secrets in the texts are masked (``n_chars`` follows); no document goes.
 5. ``mixing``: what a mix of the sources by weight takes from every document that is left.
 
-All stages but the last return the columns of ``documents``. SQL can't express them (trained model, alignment,
+All stages but the last return the columns of ``documents``, whatever their names: verdicts are held in columns whose names
+are free. A null or empty text has no language and goes in the first stage; very long texts are read whole; of repeated rows
+and of ties (copies with the same key) the one with the least key and digest stays in the second; empty tables pass all stages as no rows. SQL can't express them (trained model, alignment,
 pseudorandom draws), so there is no oracle; ``tests/llm/test_mixing_and_benchmark.py`` holds every stage against plain Python.
 """
 
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from appraise.llm import decontaminate, jaccard, language_id, mixing, secrets
-from appraise.llm.common import documents, saved, table
+from appraise.llm.common import documents, free_name, saved, table
 
 MIN_LANGUAGE_SCORE = 0.4
 
@@ -26,8 +28,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_id.train(docs)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    found = language_id.identify(docs, model)
-    good = (F.col("lang_pred") != language_id.UND) & (F.col("score") >= MIN_LANGUAGE_SCORE)
+    pred, score = free_name(docs, "lang_pred"), free_name(docs, "score")
+    found = language_id.identify(docs, model, pred, score)
+    good = (F.col(pred) != language_id.UND) & (F.col(score) >= MIN_LANGUAGE_SCORE)
     return found.where(good).select(*docs.columns)
 
 
@@ -36,8 +39,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("matches") == 0).select(*docs.columns)
+    into = free_name(docs, "matches")
+    found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), into=into)
+    return found.where(F.size(into) == 0).select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
