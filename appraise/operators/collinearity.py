@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from appraise.operators.drift import numeric_columns
+from appraise.operators.gramian import Sweep, tiled_gramian
 
 
 def null_free_columns(df: DataFrame, cols: list[str]) -> list[str]:
@@ -114,8 +115,16 @@ def gramian_frame(df: DataFrame, cols: list[str]) -> DataFrame:
     ])).alias("_p")).select("_p.*")
 
 
+NARROW = 40
+"""Columns up to which cross products are plain aggregates; beyond it they are tiles."""
+
+
 def gramian(df: DataFrame, cols: list[str]) -> Gramian:
     """X'X, column sums and n in one distributed pass; p(p+1)/2 sums reach the driver."""
+    if len(cols) > NARROW:
+        x = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols], F.lit(1.0))
+        g = tiled_gramian(df, x, len(cols) + 1).get(0, np.zeros((len(cols) + 1,) * 2))
+        return Gramian(list(cols), g[:-1, :-1], g[:-1, -1], int(round(g[-1, -1])))
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
     aggs = [F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"_g{k}") for k, (i, j) in enumerate(pairs)]
@@ -187,29 +196,42 @@ def prune_by_vif(gm: Gramian, threshold: float = 10.0, protected: list[str] | No
                  ) -> tuple[list[str], list[str], list[dict[str, float]]]:
     """Drop the highest-VIF unprotected column until every VIF < threshold.
 
-    Works on the Gramian only (no data pass per step). Ties go to the first
-    column in column order. Returns (kept, dropped in order, VIF per step).
+    Works on the Gramian only (no data pass per step): columns are swept out one by one, p² work a drop.
+    Ties go to the first column in column order. Returns (kept, dropped in order, VIF per step).
     """
     prot = set(protected or [])
-    current = [c for c in gm.columns if c not in prot]
-    dropped: list[str] = []
-    history: list[dict[str, float]] = []
-    while len(current) >= 2:
-        v = vif_from_gramian(gm.sub(current))
-        history.append(v)
-        finite_or_inf = {k: x for k, x in v.items() if not math.isnan(x)}
-        if not finite_or_inf:
-            break
-        worst_val = max(finite_or_inf.values())
-        if worst_val < threshold:
+    cols = [c for c in gm.columns if c not in prot]
+    sub = gm.sub(cols)
+    sweep = Sweep(sub.g)
+    left, dropped, history = np.ones(len(cols), bool), [], []
+    while left.sum() >= 2:
+        v = _swept_vif(sub, sweep, left)
+        history.append({c: float(x) for c, x, ok in zip(cols, v, left) if ok})
+        worst = np.where(left & ~np.isnan(v), v, -np.inf)
+        i = int(np.argmax(worst))
+        if worst[i] < threshold:
             break
-        worst = next(c for c in current if finite_or_inf.get(c) == worst_val)
-        current.remove(worst)
-        dropped.append(worst)
+        sweep.drop(i)
+        left[i] = False
+        dropped.append(cols[i])
     kept = [c for c in gm.columns if c not in dropped]
     return kept, dropped, history
 
 
+def _swept_vif(gm: Gramian, sweep: Sweep, left: np.ndarray) -> np.ndarray:
+    """VIF of the columns that are left: total over residual sum of squares, about the mean where another column is constant."""
+    diag = np.diag(gm.g)
+    centred = diag - gm.sums ** 2 / gm.n if gm.n else diag
+    constant = left & (diag > 0) & (np.abs(centred) <= 1e-12 * np.maximum(diag, 1.0))
+    others = constant.sum() - constant > 0
+    total = np.where(others, centred, diag) / sweep.norm ** 2
+    rest = sweep.residuals()
+    with np.errstate(divide="ignore", invalid="ignore"):
+        v = np.where(rest <= 1e-12 * total, np.inf, np.maximum(total / rest, 1.0 if not others.any() else 0.0))
+    v[~left | (diag <= 0)] = np.nan
+    return v
+
+
 def collinearity_tables(spark: SparkSession, df: DataFrame, cols: list[str], target: str | None = None,
                         vif_threshold: float = 10.0, corr_threshold: float = 0.85
                         ) -> dict[str, DataFrame | list[str]]:

@@ -44,6 +44,26 @@ def q_fold_membership_counts(spark, sf):
     return FO.fold_membership_counts(tx, folds, months).select("fold", "role", "n")
 
 
+_METRICS_SQL = """round(avg(abs(p - y)), 2) AS MAE, round(sqrt(avg((p - y) * (p - y))), 2) AS RMSE,
+              round(1 - sum((p - y) * (p - y)) / (var_pop(y) * count(y)), 4) AS R2,
+              round(avg(abs(p - y) / greatest(abs(y), 2.220446049250313e-16)) * 100, 2) AS MAPE_pct,
+              round(avg(p - y), 2) AS signed_error, count(*) AS n_test"""
+
+
+@register("walk_forward_linear", with_views(f"""
+WITH {_FOLDS_SQL.strip()},
+d AS (SELECT m.idx, tx.floor_area_sqm AS x, tx.resale_price AS y FROM tx JOIN m USING (month)),
+co AS (SELECT f.fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, count(*) AS n_train FROM d JOIN f ON d.idx <= f.te GROUP BY f.fold),
+pr AS (SELECT f.fold, d.y, co.a + co.b * d.x AS p, co.n_train FROM d JOIN f ON d.idx BETWEEN f.ts AND f.tend JOIN co ON co.fold = f.fold),
+mt AS (SELECT fold, {_METRICS_SQL}, max(n_train) AS n_train FROM pr GROUP BY fold)
+SELECT fd.fold, fd.train_end, fd.test_start, fd.test_end, mt.n_train, mt.n_test, mt.MAE, mt.RMSE, mt.R2, mt.MAPE_pct,
+       mt.signed_error
+FROM fd JOIN mt USING (fold)""", "tx"))
+def q_walk_forward_linear(spark, sf):
+    """E4 with a linear model of the floor area: all folds from one scan of monthly sums."""
+    return FO.walk_forward_linear(T.transactions(spark, sf), ["floor_area_sqm"], "resale_price", "month", STEP, MIN_TRAIN)
+
+
 @register("walk_forward_naive", with_views(f"""
 WITH {_FOLDS_SQL.strip()},
 d AS (SELECT m.idx, tx.town, tx.resale_price FROM tx JOIN m USING (month)),

@@ -85,6 +85,18 @@ def q_linear_baseline(spark, sf):
     return E.evaluate(pred.withColumn("model", F.lit("LinearRegression")), "prediction", TARGET, ["model"])
 
 
+@register("penalised_grid")
+def q_penalised_grid(spark, sf):
+    """Ridge, lasso and elastic net over their grids, with the error of every point and the chosen ones."""
+    from appraise.ml.linear import grid_table
+
+    train = _frame(spark, sf).filter("split = 'train'")
+    cats, nums = model_columns(train, TARGET)
+    rows = M.with_numeric_types(train, nums)
+    x = materialize(M.encoder_pipeline(cats, nums).fit(rows).transform(rows).select("features", TARGET))
+    return grid_table(spark, M.penalised_baselines(x, TARGET) | {"ElasticNet": M.elastic_net_cv(x, TARGET)})
+
+
 @register("model_comparison")
 def q_model_comparison(spark, sf):
     """Model metrics side by side, sorted by MAE (boosters, blend, group mean)."""
