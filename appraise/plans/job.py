@@ -12,6 +12,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +72,17 @@ class Job:
     def _report(self, df: DataFrame, name: str) -> None:
         R.write_report(df, self.cfg.path("reports"), name, self.cfg.run_date)
 
+    def _saved_report(self, name: str) -> DataFrame | None:
+        """A report of this run date, or None if no run has written it. Any other failure is an error."""
+        try:
+            rows = self._read("reports", name)
+        except AnalysisException as exc:
+            if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return None
+        rows = rows.filter(F.col("date") == F.lit(self.cfg.run_date).cast(rows.schema["date"].dataType)).drop("date")
+        return None if rows.isEmpty() else rows
+
     # ------------------------------------------------------------ stages
     def ingest(self) -> None:
         s, c = self.spark, self.cfg
@@ -125,11 +137,8 @@ class Job:
 
     def _dropped(self) -> list[str]:
         if "dropped" not in self.state:
-            try:
-                rows = self._read("reports", "collinearity_dropped").filter(F.col("date") == self.cfg.run_date)
-                self.state["dropped"] = [r["dropped_feature"] for r in rows.orderBy("step").collect()]
-            except Exception:  # noqa: BLE001 - collinearity not run: nothing dropped
-                self.state["dropped"] = []
+            rows = self._saved_report("collinearity_dropped")  # none: collinearity not run, nothing dropped
+            self.state["dropped"] = [] if rows is None else [r["dropped_feature"] for r in rows.orderBy("step").collect()]
         return self.state["dropped"]
 
     def train(self) -> None:
@@ -150,8 +159,7 @@ class Job:
         M.save_bundle(s, ens, model_prefix, {"run_date": c.run_date, "metrics": ens_metrics, "latest_series": latest_d,
                                              "collinearity_dropped": self._dropped()})
         write_pointer(s, c.path("models", "latest"), model_prefix, c.path("reports"), c.run_date, ens_metrics)
-        self.state.update(ensemble=ens, metrics=metrics, importance=imp,
-                          n_train=train.count(), n_test=test.count())
+        self.state["ensemble"] = ens
 
     def _model_fn(self, cats: list[str], nums: list[str]):
         c = self.cfg
@@ -185,16 +193,18 @@ class Job:
         bands = E.error_by_price_band(scored, "prediction", c.target, 5).cache()
         self._report(seg, "backtest_segments")
         self._report(bands, "backtest_price_bands")
-        self.state.update(folds=folds, seg=seg, bands=bands)
 
     def analytics(self) -> None:
         s, c = self.spark, self.cfg
-        st = self.state
-        if not all(k in st for k in ("metrics", "folds", "seg", "bands", "importance")):
-            log.warning("analytics needs train and backtest in the same run; skipped")
+        names = ("model_metrics", "backtest_folds", "backtest_segments", "backtest_price_bands", "feature_importance")
+        saved = [self._saved_report(n) for n in names]
+        absent = [n for n, t in zip(names, saved) if t is None]
+        if absent:
+            log.warning("analytics needs the reports %s; skipped", ", ".join(absent))
             return
-        doc = R.analytics_document(s, c.run_date, st["n_train"], st["n_test"], st["metrics"], st["folds"], st["seg"],
-                                   st["bands"], st["importance"])
+        proc = self._read("processed")
+        n = {r["split"]: r["n"] for r in proc.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+        doc = R.analytics_document(s, c.run_date, n.get("train", 0), n.get("test", 0), *saved)
         R.write_document(doc, c.path("reports", f"date={c.run_date}", "analytics_json"))
         self.state["document"] = doc
 

@@ -117,6 +117,10 @@ def q_scored_requests(spark, sf):
     M.save_bundle(spark, ens, path, {"run_date": "2001-09-01", "latest_series": {k: latest[k] for k in T.SERIES_MEASURES}})
     bundle = M.load_bundle(spark, path)
     scored, rejected = score_requests(_requests(spark, sf), bundle, as_of="2001-09-01", enrich=_building_table(spark, sf))
+    return _scored_and_refused(scored, rejected)
+
+
+def _scored_and_refused(scored: DataFrame, rejected: DataFrame) -> DataFrame:
     none = F.lit(None)
     refused = rejected.select("request_id", none.cast("double").alias("price"), none.cast("string").alias("currency"),
                               none.cast("string").alias("model_run_date"), F.lit(True).alias("rejected"))
@@ -170,7 +174,7 @@ def q_stream_scored_requests(spark, sf):
     model resolved through the 'latest' pointer at each micro-batch."""
     import uuid
 
-    from appraise.streaming.scoring import start_scoring_stream, write_pointer
+    from appraise.streaming.scoring import read_scored, start_scoring_stream, write_pointer
 
     ens, _, _ = _ensemble(spark, sf)
     run = scratch_path(spark, f"stream-{uuid.uuid4().hex[:8]}")
@@ -182,7 +186,7 @@ def q_stream_scored_requests(spark, sf):
     q = start_scoring_stream(spark, f"{run}/inbox", f"{run}/out", f"{run}/checkpoint", f"{run}/latest",
                              as_of="2001-09-01", available_now=True, enrich=_building_table(spark, sf))
     q.awaitTermination()
-    return spark.read.parquet(f"{run}/out/scored").select("request_id", "price", "currency", "model_run_date")
+    return _scored_and_refused(*read_scored(spark, f"{run}/out"))
 
 
 @register("batch_requests", with_views(f"""

@@ -17,9 +17,11 @@ def test_job_all_stages(spark, scratch):
     cfg = JobConfig(sf_dir=SF_SMALL, out_dir=out, run_date="2001-09-01",
                     models={"lgbm": replace(M.MODEL_A, trees=3, leaves=8), "xgboost": replace(M.MODEL_B, trees=3, depth=2)},
                     backtest_model="group_mean")
-    state = run_job(spark, cfg)
+    run_job(spark, cfg)
     doc = json.loads(spark.read.text(os.path.join(out, "reports", "date=2001-09-01", "analytics_json")).first()[0])
-    assert doc["run_date"] == "2001-09-01" and doc["n_train"] == state["n_train"]
+    processed = spark.read.parquet(os.path.join(out, "processed"))
+    assert doc["run_date"] == "2001-09-01" and doc["n_train"] == processed.filter("split = 'train'").count()
+    assert len(doc["feature_importance_top20"]) == 20
     assert set(doc["metrics"]) == {"lgbm", "xgboost", "ensemble"}
     assert len(doc["backtest_folds"]) == 10 and len(doc["bias_by_price_band"]) == 5
     checks = {r.name: r for r in spark.read.parquet(os.path.join(out, "reports", "validation_checks")).collect()}
@@ -28,6 +30,9 @@ def test_job_all_stages(spark, scratch):
     assert ptr["run_date"] == "2001-09-01" and os.path.isdir(ptr["model_prefix"])
     # a later stage alone reads the saved output of the earlier ones
     run_job(spark, cfg, ("collinearity",))
+    again = run_job(spark, cfg, ("analytics",))["document"].first()
+    assert [r.fold for r in again.backtest_folds] == [r["fold"] for r in doc["backtest_folds"]] and again.n_train == doc["n_train"]
+    assert "document" not in run_job(spark, replace(cfg, run_date="2001-10-01"), ("analytics",))  # no reports of that date
     assert spark.read.parquet(os.path.join(out, "reports", "collinearity_vif")).count() > 0
     tx = spark.read.parquet(os.path.join(out, "interim", "tx"))
     assert {"is_elite_closest_primary", "is_elite_closest_secondary", "is_elite_closest_mixed"} <= set(tx.columns)
