@@ -167,3 +167,29 @@ def test_fences_come_from_the_sketches(spark):
     mixed = spark.createDataFrame(prose + [(k + 8000, t, "en", "prose") for k, t, *_ in code[:18]], docs.schema)
     kept = {r.doc_id for r in quality_rules.judge(mixed).where("kept").collect()}
     assert kept == {k for k, *_ in prose}
+
+
+def test_base_spans_equal_plain_patterns(spark):
+    """Counts, offsets and digest of the base kinds, recomputed by plain patterns over every document."""
+    import hashlib
+    import re
+
+    kinds = {
+        "assign": (re.compile(r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"), lambda m: len(m[2]) >= 12),
+        "access": (re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 18),
+        "hex": (re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 16),
+    }
+    odd = [(1, "é password = 'abcdefghijkl' AKIA" + "A1" * 9 + " " + "0af" * 9), (2, "Api_Key:short token==" + "x" * 20), (3, "AKIAAKIA" + "Z" * 12 + "deadbeef" * 2), (4, None), (5, "")]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    docs = docs.union(spark.createDataFrame([(k + 10**6, t) for k, t in odd], docs.schema))
+    got = {r.doc_id: r for r in secrets.scan_documents(docs).collect()}
+    found = 0
+    for r in docs.collect():
+        spans = [(m.start(), i, m.end(), kind) for i, (kind, (pattern, ok)) in enumerate(kinds.items()) for m in pattern.finditer(r.text or "") if ok(m)]
+        text = ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(spans))
+        x = got[r.doc_id]
+        assert [x.n_assign, x.n_access, x.n_hex] == [sum(s[3] == kind for s in spans) for kind in kinds], r.doc_id
+        assert x.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert set(filter(None, text.split(","))) <= set(x.spans.split(","))
+        found += len(spans)
+    assert found > 20
