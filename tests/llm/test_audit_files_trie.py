@@ -284,15 +284,15 @@ def random_conversations(n, seed):
     return rows
 
 
-@pytest.mark.parametrize("least", [1, 40, 10**9])
-def test_trie_equals_plain_python(spark, least):
+@pytest.mark.parametrize("least,turns", [(1, 120), (40, 10**9), (10**9, 10**9)])
+def test_trie_equals_plain_python(spark, least, turns):
     rows = random_conversations(900, least % 7)
     odd = [(5000, None, "user", "x"), (5000, 0, None, None), (5001, 0, "user", ""), (5002, 0, "", None), (None, 0, "user", "lost")]
     odd += [(5103, 3, "user", "b"), (5103, 1, "user", "a"), (5103, 1, "user", "a"), (5104, 0, "user", "LONG" * 100_000)]
     odd += [(5200, t, "user", f"deep {t}") for t in range(300)] + [(5299, t, "user", f"deep {t}") for t in range(300)]
     odd += [(10**15 + 3, 0, "user", "x"), (-5, 0, "user", "x"), (-100, 0, "user", "y"), (-205, 1, "user", "z")]
     df = spark.createDataFrame([(*r, b"mine", "k") for r in rows + odd], "conv_id long, turn long, role string, text string, node binary, kind string")
-    got = rows_of(prefix_trie.trie(df, least_turns=least), prefix_trie.COLUMNS)
+    got = rows_of(prefix_trie.trie(df, turns, least), prefix_trie.COLUMNS)  # some 40 shards, four, one
     assert got == plain_trie(rows + odd)
 
 
