@@ -1,7 +1,7 @@
 """Exploratory statistics (D13-D18) and run-over-run views.
 
 Quantiles here are exact (linear interpolation, as ``describe`` and box
-plots use) and computed by exact ranks over bucketed windows, per group
+plots use) and computed by exact ranks over ranges of values, per group
 when grouped, so a group holding a third of the rows is still split
 across tasks.
 """
@@ -10,17 +10,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from appraise.operators.joins import join_measured
 from appraise.operators.ranking import count_le, exact_quantiles, running_totals
 from appraise.session import materialize
 
 
+def counted_values(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
+    """Rows of each (group, value) as ``_c``, written once; null values are left out."""
+    return materialize(df.filter(F.col(value_col).isNotNull()).groupBy(group_col, value_col).agg(
+        F.count(F.lit(1)).alias("_c")))
+
+
 def grouped_exact_quantiles(df: DataFrame, group_col: str, value_col: str, probs: list[float],
                             names: list[str] | None = None) -> DataFrame:
     """Exact per-group quantiles: (group_col, n, q...) with linear interpolation."""
+    return quantiles_of_counts(counted_values(df, group_col, value_col), group_col, value_col, probs, names)
+
+
+def quantiles_of_counts(vc: DataFrame, group_col: str, value_col: str, probs: list[float],
+                        names: list[str] | None = None) -> DataFrame:
+    """The same from ``counted_values``."""
     names = names or [f"q{int(p * 100)}" for p in probs]
-    vc = materialize(df.filter(F.col(value_col).isNotNull()).groupBy(group_col, value_col).agg(
-        F.count(F.lit(1)).alias("_c")))  # read for edges, offsets and totals
     cum = running_totals(vc, [group_col], value_col, ["_c"])
     n = vc.groupBy(group_col).agg(F.sum("_c").alias("_n"))
     j = cum.join(n, group_col).withColumn("_start", F.col("cum__c") - F.col("_c"))
@@ -47,6 +59,29 @@ def describe(df: DataFrame, col: str) -> DataFrame:
     return df.sparkSession.createDataFrame(stats, "stat string, value double")
 
 
+def describe_all(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """D13 for all numeric columns (or ``cols``): one row per column with count, mean, std, min, q25, q50, q75, max.
+
+    The columns are counted in long form in one pass over the table; quantiles and moments come from those counts, ranked together.
+    Nulls and NaN are left out; a column without a value has count 0 and nulls.
+    """
+    cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in cols]))
+    long = df.select(pairs.alias("_p")).select("_p.column", F.nanvl("_p._v", F.lit(None).cast("double")).alias("_v"))
+    vc = counted_values(long, "column", "_v")
+    q = quantiles_of_counts(vc, "column", "_v", [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
+    v, c = F.col("_v"), F.col("_c")
+    means = vc.groupBy("column").agg(
+        F.sum(c).alias("count"), (F.sum(v * c) / F.sum(c)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"))
+    # one row per column of the table
+    spread = vc.join(F.broadcast(means), "column").groupBy("column").agg(
+        F.sqrt(F.try_divide(F.sum(c * (v - F.col("mean")) * (v - F.col("mean"))), F.sum(c) - 1)).alias("std"))
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    out = names.join(F.broadcast(means), "column", "left").join(F.broadcast(spread), "column", "left").join(
+        F.broadcast(q.drop("n")), "column", "left")
+    return out.select("column", F.coalesce("count", F.lit(0)).alias("count"), "mean", "std", "min", "q25", "q50", "q75", "max")
+
+
 def frequency_table(df: DataFrame, col: str) -> DataFrame:
     """Value counts, descending; nulls dropped."""
     return df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n")).orderBy(
@@ -73,18 +108,17 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
 
 def box_stats(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
     """Per group quartiles, whiskers (extreme values within 1.5 IQR) and outlier count."""
-    q = grouped_exact_quantiles(df, group_col, value_col, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
-    q = q.withColumn("_iqr", F.col("q3") - F.col("q1"))
-    j = df.select(group_col, value_col).filter(F.col(value_col).isNotNull()).join(q, group_col)
-    lo_f = F.col("q1") - 1.5 * F.col("_iqr")
-    hi_f = F.col("q3") + 1.5 * F.col("_iqr")
-    inside = (F.col(value_col) >= lo_f) & (F.col(value_col) <= hi_f)
+    vc = counted_values(df, group_col, value_col)
+    q = quantiles_of_counts(vc, group_col, value_col, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    j = join_measured(vc, q, [group_col], "inner")
+    iqr = F.col("q3") - F.col("q1")
+    inside = F.col(value_col).between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr)
     return j.groupBy(group_col).agg(
         F.first("n").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
         F.first("q3").alias("q3"),
         F.min(F.when(inside, F.col(value_col))).alias("whisker_lo"),
         F.max(F.when(inside, F.col(value_col))).alias("whisker_hi"),
-        F.count_if(~inside).alias("n_outliers"),
+        F.sum(F.when(inside, F.lit(0)).otherwise(F.col("_c"))).alias("n_outliers"),
     )
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from appraise.operators.joins import join_measured
 from appraise.operators.ranking import exact_quantiles
 from appraise.session import materialize
 
@@ -150,9 +151,10 @@ def top_segments(seg: DataFrame, k: int = 20) -> DataFrame:
 def group_mean_model(train: DataFrame, test: DataFrame, key: str = "town", target_col: str = "resale_price",
                      out: str = "prediction") -> DataFrame:
     """The naive model: train mean of the target per key, else the overall train mean."""
-    means = train.groupBy(key).agg(F.avg(target_col).alias("_key_mean"))
-    overall = train.agg(F.avg(target_col).alias("m")).first()
+    sums = materialize(train.groupBy(key).agg(F.sum(target_col).alias("_s"), F.count(target_col).alias("_c")))
+    overall = sums.agg(F.try_divide(F.sum("_s"), F.sum("_c")).alias("m")).first()
     fallback = float(overall["m"]) if overall and overall["m"] is not None else None
-    return test.join(means, key, "left").withColumn(
+    means = sums.select(key, F.try_divide(F.col("_s"), F.col("_c")).alias("_key_mean"))
+    return join_measured(test, means, [key]).withColumn(
         out, F.coalesce(F.col("_key_mean"), F.lit(fallback).cast("double"))
     ).drop("_key_mean")

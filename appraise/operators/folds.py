@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from appraise.operators.errors import metric_columns
+from appraise.operators.joins import join_measured
 from appraise.operators.sets import union_by_name
 from appraise.session import materialize
 
@@ -107,7 +108,7 @@ def walk_forward_group_mean(df: DataFrame, key: str = "town", target_col: str =
                                         F.sum("c").alias("n_train"))
     test = attach_test_fold(d.withColumnRenamed("_m", "month").drop("idx"), months, n_folds, step, min_train)
     pred = (
-        test.join(key_means, ["fold", key], "left").join(F.broadcast(fold_means), "fold")
+        join_measured(test, key_means, ["fold", key]).join(F.broadcast(fold_means), "fold")
         .withColumn("prediction", F.coalesce("_km", "_fm"))
     )
     metrics = pred.groupBy("fold").agg(
@@ -124,6 +125,11 @@ def walk_forward_group_mean(df: DataFrame, key: str = "town", target_col: str =
     )
 
 
+def fold_summary(folds: DataFrame) -> DataFrame:
+    """How many folds there are and the mean of their MAPE (null without folds), one row."""
+    return folds.agg(F.count(F.lit(1)).alias("n_folds"), F.avg("MAPE_pct").alias("mean_MAPE_pct"))
+
+
 def monthly_sums(df: DataFrame, months: DataFrame, columns: list[str], month_col: str = "month") -> DataFrame:
     """Per month rank the cross products of ``columns`` (rows with a null in one of them are left out): sums that add up."""
     d = df.select(F.trunc(F.col(month_col), "month").alias("_m"), *[F.col(c).cast("double").alias(c) for c in columns]).dropna()

@@ -2,7 +2,8 @@
 
 Broadcast hints are placed only on sides whose size has a bound that does
 not grow with the fact table: the monthly series (one row per month), a
-one-row latest record. Everything else is left to the planner and AQE.
+one-row latest record. Sides that are small as a rule but have no such bound (means or seen values per key) are
+measured first (``join_measured``). Everything else is left to the planner and AQE.
 """
 
 from __future__ import annotations
@@ -11,8 +12,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from appraise.functions.parse import ELITE_INDICATORS, any_yes, address_key
+from appraise.session import materialize
 from appraise.sources.tables import PROPERTY_VOLATILE, SERIES_MEASURES
 
+BROADCAST_BYTES = 32 << 20
+"""Bytes (as JSON text) up to which ``join_measured`` broadcasts its small side."""
+
+
+def join_measured(facts: DataFrame, small: DataFrame, keys: list[str], how: str = "left",
+                  max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Facts joined (``inner`` or ``left``) to a side that holds one row per key and is small as a rule.
+
+    The small side is written and measured. Up to ``max_bytes`` it is broadcast and no fact is shuffled, however few keys hold
+    them; beyond it the facts are split by ``join_heavy_apart``. Null keys match nothing.
+    """
+    small = materialize(small)
+    size = small.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b")).first()["b"] or 0
+    if size <= max_bytes:
+        return facts.join(F.broadcast(small), keys, how)
+    return join_heavy_apart(facts, small, keys, how)
+
+
+def join_heavy_apart(facts: DataFrame, small: DataFrame, keys: list[str], how: str = "left",
+                     parts: int | None = None) -> DataFrame:
+    """The same join where ``small`` can't be broadcast: keys with more facts than a fair partition meet theirs by broadcast.
+
+    There are fewer of those than partitions, whatever the data, and ``small`` has one row for each. Facts of null keys stay
+    where they are too; the rest is shuffled. ``facts`` is read three times (counts, heavy and other rows).
+    """
+    n = parts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    counts = materialize(facts.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+    total = counts.agg(F.sum("_n").alias("t")).first()["t"] or 0
+    heavy = counts.where(F.col("_n") * n > total).select(*keys, F.lit(True).alias("_heavy"))
+    flagged = facts.join(F.broadcast(heavy), keys, "left")
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    stays = F.coalesce(F.col("_heavy"), F.lit(False)) | null_key
+    of_heavy = small.join(F.broadcast(heavy), keys, "left_semi")
+    hot = flagged.where(stays).drop("_heavy").join(F.broadcast(of_heavy), keys, how)
+    rest = flagged.where(~stays).drop("_heavy").join(small, keys, how)
+    return hot.unionByName(rest)
+
 
 def split_by_cutoff(df: DataFrame, cutoff: str, month_col: str = "month", out: str = "split") -> DataFrame:
     """``train`` when month < cutoff, else ``test`` (one frame, a split column)."""
@@ -105,11 +146,9 @@ def missing_months(tx: DataFrame, series: DataFrame, month_col: str = "month") -
 def impute_unseen(test: DataFrame, train: DataFrame, col: str, fallback: str) -> DataFrame:
     """Values of ``col`` not among the non-null train values (or null) -> fallback."""
     seen = train.select(col).filter(F.col(col).isNotNull()).distinct().withColumn("_seen", F.lit(True))
-    return (
-        test.join(seen, col, "left")
-        .withColumn(col, F.when(F.col("_seen").isNull(), F.lit(fallback)).otherwise(F.col(col)))
-        .drop("_seen")
-    )
+    out = join_measured(test, seen, [col])
+    filled = F.when(F.col("_seen").isNull(), F.lit(fallback)).otherwise(F.col(col))
+    return out.withColumn(col, filled).drop("_seen")
 
 
 def elite_lookup(refs: DataFrame, name_col: str = "ref_name", order_col: str = "ref_id",
@@ -168,12 +207,25 @@ def attach_latest(df: DataFrame, series: DataFrame, measures: list[str] | None =
 def impute_unseen_in_split(df: DataFrame, col: str, fallback: str, split_col: str = "split",
                            train_value: str = "train", test_value: str = "test") -> DataFrame:
     """C8 on a frame holding both splits: test values unseen in train (or null) -> fallback."""
-    seen = (
-        df.filter(F.col(split_col) == train_value).select(col).filter(F.col(col).isNotNull())
-        .distinct().withColumn("_seen", F.lit(True))
-    )
-    out = df.join(seen, col, "left")
-    return out.withColumn(
-        col,
-        F.when((F.col(split_col) == test_value) & F.col("_seen").isNull(), F.lit(fallback)).otherwise(F.col(col)),
-    ).drop("_seen")
+    return impute_unseen_columns(df, {col: fallback}, split_col, train_value, test_value)
+
+
+def impute_unseen_columns(df: DataFrame, fallbacks: dict[str, str], split_col: str = "split",
+                          train_value: str = "train", test_value: str = "test") -> DataFrame:
+    """C8 for several columns: test values unseen in train (or null) -> the column's fallback.
+
+    The train values of all columns are found in one pass and written once. Columns are text.
+    """
+    if not fallbacks:
+        return df
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in fallbacks]))
+    seen = materialize(
+        df.filter(F.col(split_col) == train_value).select(pairs.alias("p")).select("p.c", "p.v")
+        .filter(F.col("v").isNotNull()).distinct())
+    out = df
+    for col, fallback in fallbacks.items():
+        own = seen.filter(F.col("c") == col).select(F.col("v").alias(col), F.lit(True).alias("_seen"))
+        unseen = (F.col(split_col) == test_value) & F.col("_seen").isNull()
+        out = join_measured(out, own, [col])
+        out = out.withColumn(col, F.when(unseen, F.lit(fallback)).otherwise(F.col(col))).drop("_seen")
+    return out.select(*df.columns)

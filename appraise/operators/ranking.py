@@ -1,11 +1,12 @@
 """Exact running totals and exact quantiles without a single-partition window.
 
 A window ordered over a whole column puts every row in one task. Instead the
-distinct values are cut into ``buckets`` ranges by approximate quantiles of
-the distinct values, the per-bucket totals (a small table: groups x buckets)
-give each bucket its exact offset, and the running sum runs inside
-``(group, bucket)`` windows. The result is exact; the approximation only
-decides how the work is split.
+distinct values of all groups (and, in long form, of all columns) are dealt out once
+by ``repartitionByRange`` over (group, value), as many partitions as the session
+shuffles into. A partition then holds a run of consecutive values; its totals
+(at most groups + partitions rows) give each run its exact offset, and
+the running sum runs inside ``(group, partition)``. A group that holds a third of all values lies
+over a third of the partitions, and one value is one row however often it occurs.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
+from appraise.session import materialize
 
 
 def count_le(edges_col: str, value_col: str, n_edges: int) -> Column:
@@ -37,8 +38,14 @@ def count_le(edges_col: str, value_col: str, n_edges: int) -> Column:
     return search(0, n_edges)
 
 
-def _edge_probs(buckets: int) -> list[float]:
-    return [i / buckets for i in range(1, buckets)]
+def in_ranges(vc: DataFrame, group_cols: list[str], value_col: str, parts: int | None = None) -> DataFrame:
+    """``vc`` dealt out by ranges of (group, value), with the number of each row's range as ``_part``.
+
+    The numbers are written down (checkpoint): ranges are cut by a sample, so a second run of the plan could cut elsewhere.
+    """
+    n = parts or int(vc.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    ranged = vc.repartitionByRange(n, *group_cols, value_col)
+    return materialize(ranged.withColumn("_part", F.spark_partition_id()))
 
 
 def running_totals(
@@ -46,42 +53,30 @@ def running_totals(
     group_cols: list[str],
     value_col: str,
     count_cols: list[str],
-    buckets: int = DEFAULT_BUCKETS,
+    parts: int | None = None,
 ) -> DataFrame:
     """Append ``cum_<c>`` = sum of ``c`` over values <= this one, per group.
 
     ``vc`` must hold one row per (group, value), e.g. the output of a
-    ``groupBy(group, value).agg(count)``.
+    ``groupBy(group, value).agg(count)``; it is read twice (sample and shuffle). Rows of a null group are left out.
     """
-    probs = _edge_probs(buckets)
-    if group_cols:
-        edges = vc.groupBy(*group_cols).agg(
-            F.percentile_approx(value_col, probs, 1000).alias("_edges")
-        )
-        # one row per group: bounded by the number of groups (features), not by the data
-        b = vc.join(F.broadcast(edges), group_cols)
-    else:
-        row = vc.agg(F.percentile_approx(value_col, probs, 1000).alias("_edges")).first()
-        arr = row["_edges"] if row and row["_edges"] is not None else []
-        b = vc.withColumn("_edges", F.array(*[F.lit(float(e)) for e in arr]) if arr else F.array().cast("array<double>"))
-    b = b.withColumn("_bucket", count_le("_edges", value_col, buckets - 1)).drop("_edges")
-
-    totals = b.groupBy(*group_cols, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in count_cols])
-    w_off = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    b = in_ranges(vc, group_cols, value_col, parts)
+    totals = b.groupBy(*group_cols, "_part").agg(*[F.sum(c).alias(f"_t_{c}") for c in count_cols])
+    before = Window.partitionBy(*(group_cols or [F.lit(1)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *group_cols, "_bucket",
-        *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in count_cols],
+        *group_cols, "_part",
+        *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in count_cols],
     )
-    # groups x buckets rows: bounded, so broadcasting it is safe
-    b = b.join(F.broadcast(offsets), [*group_cols, "_bucket"])
-    w = Window.partitionBy(*group_cols, "_bucket").orderBy(value_col).rowsBetween(
+    # at most groups + partitions rows; groups can grow with the data, so how to join is left to the planner
+    b = b.join(offsets, [*group_cols, "_part"])
+    w = Window.partitionBy(*group_cols, "_part").orderBy(value_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     b = b.withColumns({f"cum_{c}": F.col(f"_o_{c}") + F.sum(c).over(w) for c in count_cols})
-    return b.drop("_bucket", *[f"_o_{c}" for c in count_cols])
+    return b.drop("_part", *[f"_o_{c}" for c in count_cols])
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], buckets: int = DEFAULT_BUCKETS) -> list[float | None]:
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], parts: int | None = None) -> list[float | None]:
     """Exact quantiles with linear interpolation between order statistics.
 
     position h = (n - 1) * p; result = v[floor h] + (v[ceil h] - v[floor h]) * (h - floor h).
@@ -89,19 +84,19 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], buckets: int =
     """
     vc = df.select(F.col(col).alias("_v")).filter(F.col("_v").isNotNull()).groupBy("_v").agg(
         F.count(F.lit(1)).alias("_n")
-    ).persist(StorageLevel.MEMORY_AND_DISK)  # read three times below; released before returning
+    ).persist(StorageLevel.MEMORY_AND_DISK)  # read for the count, the sample and the ranges; released before returning
     try:
-        return _quantiles_from_counts(vc, probs, buckets)
+        return _quantiles_from_counts(vc, probs, parts)
     finally:
         vc.unpersist()
 
 
-def _quantiles_from_counts(vc: DataFrame, probs: list[float], buckets: int) -> list[float | None]:
-    ranked = running_totals(vc, [], "_v", ["_n"], buckets)
+def _quantiles_from_counts(vc: DataFrame, probs: list[float], parts: int | None) -> list[float | None]:
     n_row = vc.agg(F.sum("_n").alias("n")).first()
     n = int(n_row["n"] or 0) if n_row else 0
     if n == 0:
         return [None for _ in probs]
+    ranked = running_totals(vc, [], "_v", ["_n"], parts)
     wanted: dict[float, tuple[int, int, float]] = {}
     ranks: set[int] = set()
     for p in probs:

@@ -64,7 +64,7 @@ def q_walk_forward_linear(spark, sf):
     return FO.walk_forward_linear(T.transactions(spark, sf), ["floor_area_sqm"], "resale_price", "month", STEP, MIN_TRAIN)
 
 
-@register("walk_forward_naive", with_views(f"""
+_NAIVE_FOLDS_SQL = f"""
 WITH {_FOLDS_SQL.strip()},
 d AS (SELECT m.idx, tx.town, tx.resale_price FROM tx JOIN m USING (month)),
 mk AS (SELECT idx, town, sum(resale_price) AS s, count(resale_price) AS c FROM d GROUP BY idx, town),
@@ -80,11 +80,23 @@ mt AS (SELECT fold, round(avg(abs(p - y)), 2) AS MAE, round(sqrt(avg((p - y) * (
        FROM pr GROUP BY fold)
 SELECT fd.fold, fd.train_end, fd.test_start, fd.test_end, mt.n_train, mt.n_test, mt.MAE, mt.RMSE, mt.R2, mt.MAPE_pct,
        mt.signed_error
-FROM fd JOIN mt USING (fold)""", "tx"))
+FROM fd JOIN mt USING (fold)"""
+
+
+@register("walk_forward_naive", with_views(_NAIVE_FOLDS_SQL, "tx"))
 def q_walk_forward_naive(spark, sf):
     return FO.walk_forward_group_mean(T.transactions(spark, sf), "town", "resale_price", "month", STEP, MIN_TRAIN)
 
 
+@register("fold_mape", with_views(f"""
+WITH per_fold AS ({_NAIVE_FOLDS_SQL})
+SELECT count(*) AS n_folds, round(avg(MAPE_pct), 4) AS mean_MAPE_pct FROM per_fold""", "tx"))
+def q_fold_mape(spark, sf):
+    """Mean MAPE of the walk-forward folds."""
+    f = FO.fold_summary(FO.walk_forward_group_mean(T.transactions(spark, sf), "town", "resale_price", "month", STEP, MIN_TRAIN))
+    return f.select("n_folds", r4("mean_MAPE_pct").alias("mean_MAPE_pct"))
+
+
 # ---------------------------------------------------------------- E: windows over series and records
 
 
@@ -157,6 +169,20 @@ def q_describe_price(spark, sf):
     return X.describe(T.transactions(spark, sf), "resale_price").select("stat", r4("value").alias("value"))
 
 
+DESCRIBED = ["floor_area_sqm", "lease_commence_date", "resale_price"]
+
+
+@register("describe_all", with_views("\nUNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
+       round(CAST(min({c}) AS DOUBLE), 4) AS min, round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 4) AS q25,
+       round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 4) AS q50, round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 4) AS q75,
+       round(CAST(max({c}) AS DOUBLE), 4) AS max FROM tx""" for c in DESCRIBED), "tx"))
+def q_describe_all(spark, sf):
+    """D13 for every numeric column of the sales."""
+    d = X.describe_all(T.transactions(spark, sf))
+    return d.select("column", "count", *[r4(c).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
+
+
 @register("freq_table", with_views("SELECT town, count(*) AS n FROM tx WHERE town IS NOT NULL GROUP BY town", "tx"))
 def q_freq_table(spark, sf):
     return X.frequency_table(T.transactions(spark, sf), "town")

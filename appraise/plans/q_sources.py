@@ -1,4 +1,4 @@
-"""Registered queries: sources and sinks (A1, A5)."""
+"""Registered queries: sources and sinks."""
 
 from __future__ import annotations
 
@@ -30,27 +30,52 @@ def q_csv_roundtrip(spark, sf):
         F.count(F.lit(1)).alias("n"), F.round(F.sum("resale_price"), 2).alias("total_price"))
 
 
-HISTORY_MONTHS = ["2001-01", "2001-02", "2001-03"]
+RERUN_DAY = "2001-02-01"
 
 
 @register("report_history", with_views(f"""
 SELECT town, count(*) AS n, strftime(month, '%Y-%m-%d') AS date FROM tx
-WHERE month IN (DATE '{HISTORY_MONTHS[0]}-01', DATE '{HISTORY_MONTHS[2]}-01') GROUP BY town, month""", "tx"))
+WHERE month <> DATE '{RERUN_DAY}' GROUP BY town, month""", "tx"))
 def q_report_history(spark, sf):
-    """A6 + A11: a report per run date, all read as one table; the second date is run again and then has no rows."""
+    """A6 + A11: a report per month of the sales, all read as one table; one date is run again and then has no rows."""
     from appraise.plans import report as R
 
     base = scratch_path(spark, f"history-{uuid.uuid4().hex}")
-    tx = T.transactions(spark, sf, since=HISTORY_MONTHS[0] + "-01")
-    for month in HISTORY_MONTHS:
-        day = f"{month}-01"
-        rows = tx.filter(F.col("month") == F.to_date(F.lit(day))).groupBy("town").agg(F.count(F.lit(1)).alias("n"))
-        R.write_report(rows, base, "sales_by_town", day)
-    day = HISTORY_MONTHS[1] + "-01"
-    R.write_report(spark.createDataFrame([], "town string, n long"), base, "sales_by_town", day)
+    day = F.date_format("month", "yyyy-MM-dd").alias("date")
+    rows = T.transactions(spark, sf).groupBy("town", day).agg(F.count(F.lit(1)).alias("n"))
+    R.write_report_dates(rows, base, "sales_by_town")
+    R.write_report(spark.createDataFrame([], "town string, n long"), base, "sales_by_town", RERUN_DAY)
     return R.read_report_history(spark, base, "sales_by_town")
 
 
+PAGE_KEYS = 400
+"""Order keys a page of sales holds; pages stay small however many there are."""
+
+
+@register("record_pages", with_views(f"""
+WITH p AS (SELECT *, CAST(split_part(tx_id, '-', 1) AS BIGINT) // {PAGE_KEYS} AS page FROM tx),
+g AS (SELECT max(page) AS gap FROM p WHERE page <= (SELECT max(page) * 3 // 4 FROM p))
+SELECT strftime(month, '%Y-%m') AS month, count(*) AS n, round(sum(resale_price), 2) AS total_price
+FROM p, g WHERE page < gap AND month BETWEEN DATE '1996-01-01' AND DATE '2000-12-01' GROUP BY month""", "tx"))
+def q_record_pages(spark, sf):
+    """A2: the sales as JSON pages without a page field, one of them empty; read up to that page, a range of months."""
+    key = F.split("tx_id", "-")[0].cast("long")
+    tx = T.transactions(spark, sf).withColumn("page", F.floor(key / PAGE_KEYS))
+    last = tx.agg(F.max("page").alias("m")).first()["m"]
+    if last is None:
+        return spark.createDataFrame([], "month string, n long, total_price double")
+    gap = tx.where(F.col("page") <= last * 3 // 4).agg(F.max("page").alias("m")).first()["m"]
+    record = F.struct(F.date_format("month", "yyyy-MM").alias("month"), *[
+        F.col(f.name).cast("string").alias(f.name) for f in RD.TX_CSV_SCHEMA.fields[1:]])
+    held = F.collect_list(F.when(F.col("page") != gap, record)).alias("records")  # nulls aren't collected
+    pages = tx.groupBy("page").agg(F.to_json(F.struct(F.struct(held).alias("result"))).alias("value"))
+    path = scratch_path(spark, f"pages-{uuid.uuid4().hex}")
+    pages.write.partitionBy("page").text(path)
+    back = RD.read_record_pages(spark, path, "1996-01", "2000-12")
+    return back.groupBy(P.month_key("month").alias("month")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("resale_price"), 2).alias("total_price"))
+
+
 @register("series_csv", with_views("""
 SELECT strftime(month, '%Y-%m-%d') AS month, sora_3m, cpi_all_items, cooling_measure FROM series""", "series"))
 def q_series_csv(spark, sf):

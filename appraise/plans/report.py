@@ -26,6 +26,14 @@ def write_report(df: DataFrame, base: str, name: str, run_date: str) -> str:
     return path
 
 
+def write_report_dates(df: DataFrame, base: str, name: str, date_col: str = "date") -> str:
+    """A6 for many run dates at once: each date of ``date_col`` (``yyyy-MM-dd`` text) in ``df`` is replaced, no other."""
+    path = f"{base.rstrip('/')}/{name}"
+    out = df.withColumnRenamed(date_col, "date").repartition("date")  # one file a date
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    return path
+
+
 def read_report_history(spark: SparkSession, base: str, name: str) -> DataFrame:
     """All run dates of a report as one table with a ``date`` column."""
     path = f"{base.rstrip('/')}/{name}"

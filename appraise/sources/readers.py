@@ -6,8 +6,9 @@ Every reader declares its schema (no inference) and normalises NaN to NULL.
   written in several formats and is snapped to the month start.
 * A2 ``read_record_pages``: pages of API responses stored as JSON files
   ``{"result": {"records": [...]}}``; records are exploded, cast to the sale
-  schema and kept when ``start <= month <= end``. Pages after the first
-  empty page (by page number) are ignored, as the paging loop would stop.
+  schema and kept when ``start <= month <= end``. Pages from the first
+  empty page on are ignored, as the paging loop would stop there. Pages are ordered by their
+  field ``page`` (or folder ``page=N``), else by the last number in the file's name, else by the path.
 * A3 ``read_lookup_csv``: stations, schools, buildings (an index column is dropped).
 * A4 ``read_series_csv``: the monthly series.
 """
@@ -73,10 +74,17 @@ def read_record_pages(spark: SparkSession, path: str, start: str = "2017-01", en
         T.StructField("result", T.StructType([T.StructField("records", T.ArrayType(rec))])),
     ])
     pages = spark.read.schema(page_schema).option("multiLine", True).json(path)
-    pages = pages.withColumn("_n", F.coalesce(F.size("result.records"), F.lit(0)))
-    # pages after the first empty page are not read by the paging loop
-    stop = pages.filter(F.col("_n") <= 0).agg(F.min("page").alias("_stop")).first()["_stop"]  # one number
-    kept = pages if stop is None else pages.filter(F.col("page") < F.lit(stop))
+    named = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)[^0-9]*$", 1)
+    number = F.coalesce(F.col("page"), F.when(named != "", named.try_cast("long")))
+    pages = pages.select(F.struct(number.alias("number"), F.col("_metadata.file_path").alias("path")).alias("_at"), "result")
+    # the paging loop stops at the first empty page; its place is one small row
+    empty = F.coalesce(F.size("result.records"), F.lit(0)) <= 0
+    stop = pages.filter(empty).agg(F.min("_at").alias("_stop")).first()["_stop"]
+    if stop is None:
+        kept = pages
+    else:
+        at = F.struct(F.lit(stop["number"]).cast("long").alias("number"), F.lit(stop["path"]).alias("path"))
+        kept = pages.filter(F.col("_at") < at)
     rows = kept.select(F.explode("result.records").alias("r")).select("r.*")
     typed = rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name != "month" else F.col("month")
                           for f in TX_CSV_SCHEMA.fields])

@@ -94,6 +94,34 @@ def test_impute_unseen_in_split(spark):
     assert out == [("test", "a"), ("test", "z"), ("train", "a"), ("train", "c")]
 
 
+def test_impute_unseen_columns(spark):
+    df = spark.createDataFrame([("train", "a", None), ("test", "a", "p"), ("test", None, "q"), ("train", "c", "q")],
+                               "split string, v string, w string")
+    out = J.impute_unseen_columns(df, {"v": "z", "w": "y"})
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(
+        [("train", "a", None), ("test", "a", "y"), ("test", "z", "q"), ("train", "c", "q")], key=str)
+
+
+def test_join_measured_with_a_hot_key(spark):
+    """Broadcast, and split with the hot key apart, give the plain join; neither shuffles the hot key's facts."""
+    facts = spark.range(3000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 100 = 1 THEN NULL ELSE concat('k', id % 40) END AS k")
+    small = spark.range(30).selectExpr("concat('k', id) AS k", "id * 2 AS m").unionByName(
+        spark.sql("SELECT 'hot' AS k, CAST(-1 AS BIGINT) AS m"))
+    for how in ("left", "inner"):
+        exp = sorted(map(tuple, facts.join(small, ["k"], how).collect()), key=str)
+        assert sorted(map(tuple, J.join_measured(facts, small, ["k"], how).collect()), key=str) == exp
+        apart = J.join_measured(facts, small, ["k"], how, max_bytes=10)
+        assert sorted(map(tuple, apart.collect()), key=str) == exp
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = J.join_measured(facts, small, ["k"])._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_elite_flags(spark):
     refs = spark.createDataFrame(
         [(1, "Elite Primary", "Yes", "No", "No", "No"), (2, "Plain Primary", "No", "No", "No", "No"),

@@ -35,6 +35,25 @@ def test_record_pages_stop_and_range(spark, scratch):
     assert sorted(r.month for r in df.collect()) == [dt.date(2017, 1, 1), dt.date(2024, 3, 1)]
 
 
+def _pages(folder, named):
+    os.makedirs(folder)
+    for name, months in named.items():
+        with open(os.path.join(folder, name), "w") as fh:
+            json.dump({"result": {"records": [dict(ROW, month=m) for m in months]}}, fh)
+    return folder
+
+
+def test_record_pages_without_a_page_field(spark, scratch):
+    """Order from file names: by number (10 after 9, not after 1), or by path where no name has one."""
+    months = {f"p{k}.json": [f"2020-{k:02d}"] for k in range(1, 13)}
+    numbered = _pages(os.path.join(scratch, "numbered"), months | {"p10.json": []})
+    assert sorted(r.month.month for r in RD.read_record_pages(spark, numbered).collect()) == list(range(1, 10))
+    plain = _pages(os.path.join(scratch, "plain"), {"a.json": ["2020-01"], "b.json": [], "c.json": ["2020-03"]})
+    assert [r.month.month for r in RD.read_record_pages(spark, plain).collect()] == [1]
+    full = _pages(os.path.join(scratch, "full"), {"a.json": ["2020-01"], "b.json": ["2020-02"]})
+    assert RD.read_record_pages(spark, full).count() == 2
+
+
 def test_lookup_and_series(spark, scratch):
     p = os.path.join(scratch, "b.csv")
     with open(p, "w") as fh:

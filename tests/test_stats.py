@@ -13,7 +13,7 @@ from appraise.operators import collinearity as CL
 from appraise.operators import drift as D
 from appraise.operators import eda as X
 from appraise.operators import errors as E
-from appraise.operators.ranking import exact_quantiles
+from appraise.operators.ranking import exact_quantiles, in_ranges, running_totals
 
 
 def _frame(spark, pdf):
@@ -45,10 +45,43 @@ def test_exact_quantiles_match_numpy(spark):
     vals = np.concatenate([rng.integers(0, 50, 500).astype(float), rng.normal(0, 10, 700)])
     df = spark.createDataFrame(pd.DataFrame({"v": vals}))
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = exact_quantiles(df, "v", probs, buckets=8)
+    got = exact_quantiles(df, "v", probs, parts=8)
     assert got == pytest.approx(list(np.quantile(vals, probs)), rel=1e-12, abs=1e-12)
 
 
+def test_running_totals_of_a_hot_group_over_many_ranges(spark):
+    """One group with most of the values: totals as in pandas, and its values lie in many ranges."""
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"g": ["hot"] * 600 + list("abc") * 40, "v": rng.permutation(720).astype(float),
+                        "n": rng.integers(1, 9, 720)})
+    df = spark.createDataFrame(pdf)
+    got = running_totals(df, ["g"], "v", ["n"], parts=9).toPandas().sort_values(["g", "v"]).reset_index(drop=True)
+    exp = pdf.sort_values(["g", "v"]).reset_index(drop=True)
+    assert got.cum_n.tolist() == exp.groupby("g").n.cumsum().tolist()
+    rows = in_ranges(df, ["g"], "v", parts=9).groupBy("g", "_part").count().toPandas()
+    hot = rows[rows.g == "hot"]
+    assert len(hot) >= 6 and hot["count"].max() <= 240
+
+
+def test_quantiles_without_rows(spark):
+    assert exact_quantiles(spark.createDataFrame([], "v double"), "v", [0.5]) == [None]
+    assert X.box_stats(spark.createDataFrame([], "g string, v double"), "g", "v").count() == 0
+
+
+def test_describe_all_matches_pandas(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"a": rng.normal(5, 2, 501), "b": rng.integers(0, 4, 501), "t": "x"})
+    pdf.loc[::7, "a"] = np.nan
+    df = spark.createDataFrame(pdf).withColumn("empty", F.lit(None).cast("double"))
+    got = X.describe_all(df).toPandas().set_index("column")
+    exp = pdf[["a", "b"]].describe()
+    assert set(got.index) == {"a", "b", "empty"}
+    for c in ("a", "b"):
+        have = got.loc[c, ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]].astype(float)
+        assert have.tolist() == pytest.approx(exp[c].tolist())
+    assert got.loc["empty", "count"] == 0 and np.isnan(got.loc["empty", "q50"])
+
+
 def test_price_bands_match_qcut(spark):
     rng = np.random.default_rng(2)
     y = np.round(rng.lognormal(12, 0.4, 1000), -2)  # ties on purpose
