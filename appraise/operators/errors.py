@@ -143,6 +143,52 @@ def evaluate(df: DataFrame, pred_col: str = "prediction", target_col: str = "res
     return df.groupBy(*(group_cols or [])).agg(*aggs)
 
 
+def error_report(scored: DataFrame, predictions: dict[str, str], target_col: str = "resale_price",
+                 segment_cols: list[str] | None = None, n_bands: int = 5) -> DataFrame:
+    """D1-D4 of several models at once: (section, model, item, n, price_min, price_max, metrics ...), written down.
+
+    ``predictions`` maps model names to columns of ``scored``. The columns needed are written once; the band edges are exact
+    quantiles of that table and one aggregate over grouping sets gives the section ``all`` (item null), one section per segment
+    column and ``price_band``. Rows without a target and null segments are left out.
+    """
+    segs = [c for c in (segment_cols or ["town", "flat_type"]) if c in scored.columns]
+    cols = list(dict.fromkeys([target_col, *segs, *predictions.values()]))
+    base = materialize(scored.select(*cols).filter(F.col(target_col).isNotNull()))
+    edges = quantile_edges(base, target_col, n_bands)
+    models = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias("_p"))
+                                 for m, c in predictions.items()]))
+    long = base.select(
+        models.alias("_m"), F.col(target_col).alias("_y"), band_of(target_col, edges[1:-1]).alias("price_band"),
+        *[F.col(c).cast("string").alias(c) for c in segs])
+    long = long.select("_m.*", "_y", "price_band", *segs)
+    dims = [*segs, "price_band"]
+    residual = F.col("_p") - F.col("_y")
+    section = F.lit("all")
+    for d in dims:
+        section = F.when(F.grouping(d) == 0, F.lit(d)).otherwise(section)
+    out = long.groupingSets([["model"], *[["model", d] for d in dims]], "model", *dims).agg(
+        section.alias("section"),
+        F.count("_p").alias("n"), F.min("_y").alias("price_min"), F.max("_y").alias("price_max"),
+        F.avg(residual).alias("mean_signed_error"), F.avg(F.abs(residual)).alias("mean_abs_error"),  # names are compared without case: MAE and MAPE_pct are the rounded ones
+        (F.avg(F.abs(residual) / F.col("_y")) * 100).alias("mean_ape_pct"), *metric_columns("_p", "_y"))
+    item = F.coalesce(*[F.col(d).cast("string") for d in dims])
+    out = out.withColumn("item", item).filter((F.col("section") == "all") | F.col("item").isNotNull())
+    return materialize(out.drop(*dims))
+
+
+def report_sections(report: DataFrame, model: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Metrics of all models, and segments and price bands of ``model``, as the analytics document takes them."""
+    own = report.filter(F.col("model") == model)
+    metrics = report.filter("section = 'all'").select("model", "MAE", "RMSE", "R2", "MAPE_pct")
+    seg = own.filter("section NOT IN ('all', 'price_band')").select(
+        F.col("section").alias("segment_col"), F.col("item").alias("segment"), "n", "mean_signed_error",
+        F.col("mean_abs_error").alias("mae"), F.col("mean_ape_pct").alias("mape_pct"))
+    bands = own.filter("section = 'price_band'").select(
+        F.col("item").cast("int").alias("price_band"), "price_min", "price_max", "n", "mean_signed_error",
+        F.col("mean_abs_error").alias("mae"))
+    return metrics, seg, bands
+
+
 def top_segments(seg: DataFrame, k: int = 20) -> DataFrame:
     """the k segments with most rows, then re-sorted by mean signed error."""
     return seg.orderBy(F.col("n").desc(), "segment").limit(k).orderBy(F.col("mean_signed_error").desc())

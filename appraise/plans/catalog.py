@@ -268,19 +268,12 @@ nf AS (SELECT t.tx_id, t.resale_price, coalesce(ftm.m, g.m) AS prediction
        FROM split_tx t LEFT JOIN ftm ON t.flat_type = ftm.flat_type, g WHERE t.split = 'test')
 """ + _METRICS_SQL, "naive"))
 def q_metrics_by_model(spark, sf):
-    from appraise.operators.sets import union_by_name
-
     train, test = train_test(spark, sf)
-    test = test.select("tx_id", "town", "flat_type", "resale_price")
-    pt = E.group_mean_model(train, test, "town", out="p_town")
-    pf = E.group_mean_model(train, test.select("tx_id", "flat_type"), "flat_type", out="p_flat")
-    both = pt.join(pf.select("tx_id", "p_flat"), "tx_id")
-    long = union_by_name([
-        both.select(F.lit("town_mean").alias("model"), F.col("p_town").alias("p"), "resale_price"),
-        both.select(F.lit("flat_type_mean").alias("model"), F.col("p_flat").alias("p"), "resale_price"),
-        both.select(F.lit("blend").alias("model"), P.blend("p_town", "p_flat").alias("p"), "resale_price"),
-    ])
-    return E.evaluate(long, "p", "resale_price", ["model"])
+    test = test.select("town", "flat_type", "resale_price")
+    p = E.group_mean_model(train, E.group_mean_model(train, test, "town", out="p_town"), "flat_type", out="p_flat")
+    models = {"town_mean": F.col("p_town"), "flat_type_mean": F.col("p_flat"), "blend": P.blend("p_town", "p_flat")}
+    one = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), c.alias("p")) for m, c in models.items()]))
+    return E.evaluate(p.select(one.alias("_m"), "resale_price").select("_m.*", "resale_price"), "p", "resale_price", ["model"])
 
 
 @register("top_segments", with_views("""

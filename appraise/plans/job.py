@@ -188,9 +188,8 @@ class Job:
         if ens is None:
             ens, _ = M.train_ensemble(proc.filter("split = 'train'"), test.limit(0), c.target, cats, nums, c.models,
                                       c.weights)
-        scored = ens.predict(test).select("town", "flat_type", c.target, "prediction").cache()
-        seg = E.error_by_segment(scored, "prediction", c.target, ["town", "flat_type"]).cache()
-        bands = E.error_by_price_band(scored, "prediction", c.target, 5).cache()
+        report = E.error_report(ens.predict(test), {"ensemble": "prediction"}, c.target)
+        _, seg, bands = E.report_sections(report, "ensemble")
         self._report(seg, "backtest_segments")
         self._report(bands, "backtest_price_bands")
 

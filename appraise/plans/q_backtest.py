@@ -9,8 +9,10 @@ from appraise.operators import eda as X
 from appraise.operators import errors as E
 from appraise.operators import folds as FO
 from appraise.operators import joins as J
+from appraise.plans import report as R
 from appraise.plans.catalog import naive_predictions, r4, register
-from appraise.plans.oracle_views import with_views
+from appraise.plans.oracle_views import CUTOFF, with_views
+from appraise.session import materialize
 from appraise.sources import tables as T
 
 STEP, MIN_TRAIN = 6, 18
@@ -250,44 +252,60 @@ def q_signed_error_by_month(spark, sf):
         r4(E.signed_error(n)).alias("signed_error"), F.count(F.lit(1)).alias("n"))
 
 
-@register("analytics_document")
+def _rows_sql(section: str, item: str, names: list[str], source: str) -> str:
+    values = ", ".join(f"CAST({n} AS DOUBLE)" for n in names)
+    labels = ", ".join(f"'{n}'" for n in names)
+    return (f"SELECT '{section}' AS section, CAST({item} AS VARCHAR) AS item, unnest([{labels}]) AS metric, "
+            f"unnest([{values}]) AS value FROM {source}")
+
+
+_SEGMENT_SQL = """count(prediction) AS n, round(avg(prediction - resale_price), 4) AS mean_signed_error,
+  round(avg(abs(prediction - resale_price)), 4) AS mae, round(avg(abs(prediction - resale_price) / resale_price) * 100, 4) AS mape_pct"""
+
+_DOCUMENT_SQL = f"""
+WITH folds AS ({_NAIVE_FOLDS_SQL}),
+ftm AS (SELECT flat_type, avg(resale_price) AS m FROM split_tx WHERE split = 'train' GROUP BY flat_type),
+g AS (SELECT avg(resale_price) AS m FROM split_tx WHERE split = 'train'),
+three AS (SELECT n.town, n.flat_type, n.resale_price, n.prediction, coalesce(ftm.m, g.m) AS p_flat
+          FROM naive n LEFT JOIN ftm ON n.flat_type = ftm.flat_type, g),
+e AS (SELECT quantile_cont(resale_price, [0.2, 0.4, 0.6, 0.8]) AS q FROM three),
+b AS (SELECT three.*, CAST((resale_price > e.q[1])::INT + (resale_price > e.q[2])::INT
+                           + (resale_price > e.q[3])::INT + (resale_price > e.q[4])::INT AS INTEGER) AS price_band
+      FROM three, e),
+lm AS (SELECT 'town_mean' AS model, prediction AS p, resale_price AS y FROM three
+       UNION ALL SELECT 'flat_type_mean', p_flat, resale_price FROM three
+       UNION ALL SELECT 'blend', 0.5 * prediction + 0.5 * p_flat, resale_price FROM three),
+mt AS (SELECT model, {_METRICS_SQL} FROM lm GROUP BY model),
+towns AS (SELECT town, {_SEGMENT_SQL} FROM three WHERE town IS NOT NULL GROUP BY town),
+types AS (SELECT flat_type, {_SEGMENT_SQL} FROM three WHERE flat_type IS NOT NULL GROUP BY flat_type),
+bands AS (SELECT price_band, round(min(resale_price), 4) AS price_min, round(max(resale_price), 4) AS price_max, {_SEGMENT_SQL}
+          FROM b GROUP BY price_band),
+sizes AS (SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'test') AS n_test FROM split_tx),
+long_form AS (
+  {_rows_sql("backtest_folds", "fold", R.SECTIONS["backtest_folds"][1], "folds")}
+  UNION ALL {_rows_sql("bias_by_town", "town", R.SECTIONS["bias_by_town"][1], "towns")}
+  UNION ALL {_rows_sql("bias_by_flat_type", "flat_type", R.SECTIONS["bias_by_flat_type"][1], "types")}
+  UNION ALL {_rows_sql("bias_by_price_band", "price_band", R.SECTIONS["bias_by_price_band"][1], "bands")}
+  UNION ALL {_rows_sql("metrics", "model", ["MAE", "RMSE", "R2", "MAPE_pct"], "mt")}
+  UNION ALL {_rows_sql("summary", "'run'", ["n_train", "n_test"], "sizes")})
+SELECT section, item, metric, CAST(round(CAST(value AS DECIMAL(28, 4)), 3) AS DOUBLE) AS value FROM long_form"""
+
+
+@register("analytics_document", with_views(_DOCUMENT_SQL, "naive"))
 def q_analytics_document(spark, sf):
-    """The nested analytics document (naive model, walk-forward folds, bias tables), built as one
-    row of maps and arrays, then read back in long form (section, item, metric, value)."""
-    from appraise.plans import report as R
-    from appraise.plans.catalog import QUERIES
-
-    naive = naive_predictions(spark, sf)
-    seg = E.error_by_segment(naive, segment_cols=["town", "flat_type"])
-    bands = E.error_by_price_band(naive)
-    folds = FO.walk_forward_group_mean(T.transactions(spark, sf), "town", "resale_price", "month", STEP, MIN_TRAIN)
-    metrics = QUERIES["metrics_by_model"](spark, sf)
-    imp = spark.createDataFrame([], "Feature string, LGBM_importance double, XGB_importance double, "
-                                    "mean_importance double")
-    counts = {r.split: r.n for r in QUERIES["time_split_counts"](spark, sf).collect()}  # two rows
-    doc = R.analytics_document(spark, "2001-09-01", counts.get("train", 0), counts.get("test", 0), metrics, folds,
-                               seg, bands, imp)
-
-    def section(name: str, key: str, fields: list[str]):
-        row = F.explode(name).alias("r")
-        return doc.select(row).select(
-            F.lit(name).alias("section"), F.col(f"r.{key}").cast("string").alias("item"),
-            F.explode(F.create_map(*sum([[F.lit(f), F.col(f"r.{f}").cast("double")] for f in fields], []))).alias(
-                "metric", "value"))
-
-    parts = [
-        section("backtest_folds", "fold", ["n_train", "n_test", "MAPE_pct", "MAE", "RMSE", "signed_error"]),
-        section("bias_by_town", "town", ["n", "mean_signed_error", "mae", "mape_pct"]),
-        section("bias_by_flat_type", "flat_type", ["n", "mean_signed_error", "mae", "mape_pct"]),
-        section("bias_by_price_band", "price_band", ["price_min", "price_max", "n", "mean_signed_error", "mae"]),
-        doc.select(F.explode("metrics").alias("model", "m")).select(
-            F.lit("metrics").alias("section"), F.col("model").alias("item"),
-            F.explode("m").alias("metric", "value")),
-        doc.select(F.lit("summary").alias("section"), F.lit("run").alias("item"),
-                   F.explode(F.create_map(F.lit("n_train"), F.col("n_train").cast("double"),
-                                          F.lit("n_test"), F.col("n_test").cast("double"))).alias("metric", "value")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """A7 with the group-mean models (importances: ``model_document``): the nested document, read back in long form.
+
+    The sales are read once, into a narrow table; folds, predictions and the error report read that one. Values have three decimals.
+    """
+    sales = materialize(T.transactions(spark, sf).select("month", "town", "flat_type", "resale_price"))
+    sides = J.split_by_cutoff(sales, CUTOFF + "-01")
+    train, test = sides.filter("split = 'train'"), sides.filter("split = 'test'")
+    scored = E.group_mean_model(train, E.group_mean_model(train, test, "town", out="p_town"), "flat_type", out="p_flat")
+    scored = scored.withColumn("p_blend", P.blend("p_town", "p_flat"))
+    report = E.error_report(scored, {"town_mean": "p_town", "flat_type_mean": "p_flat", "blend": "p_blend"})
+    metrics, seg, bands = E.report_sections(report, "town_mean")
+    folds = FO.walk_forward_group_mean(sales, "town", "resale_price", "month", STEP, MIN_TRAIN)
+    n = {r["split"]: r["n"] for r in sides.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    none = spark.createDataFrame([], "Feature string, mean_importance double")
+    doc = R.analytics_document(spark, "2001-09-01", n.get("train", 0), n.get("test", 0), metrics, folds, seg, bands, none)
+    return R.document_rows(materialize(doc)).withColumn("value", F.round("value", 3))

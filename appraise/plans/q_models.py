@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from appraise.functions import parse as P
 from appraise.ml import models as M
 from appraise.operators import errors as E
+from appraise.operators import folds as FO
 from appraise.plans.catalog import register
 from appraise.operators import joins as J
 from appraise.plans.features import (
@@ -71,6 +72,21 @@ def q_importance_view(spark, sf):
     return M.importance_view(M.summarise_importance(spark, ens, 20))
 
 
+@register("model_document")
+def q_model_document(spark, sf):
+    """A7 of the trained ensemble with its importances, in long form; the folds are those of the linear walk-forward."""
+    from appraise.plans import report as R
+
+    ens, metrics, df = _ensemble(spark, sf)
+    report = E.error_report(ens.predict(df.filter("split = 'test'")), {"ensemble": "prediction"}, TARGET)
+    _, seg, bands = E.report_sections(report, "ensemble")
+    folds = FO.walk_forward_linear(T.transactions(spark, sf), ["floor_area_sqm"], TARGET)
+    n = {r["split"]: r["n"] for r in df.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    doc = R.analytics_document(spark, "2001-09-01", n.get("train", 0), n.get("test", 0), metrics, folds, seg, bands,
+                               M.summarise_importance(spark, ens, 20))
+    return R.document_rows(materialize(doc))
+
+
 @register("linear_baseline")
 def q_linear_baseline(spark, sf):
     """J6 (linear member) on the same encoded features."""

@@ -103,6 +103,31 @@ def analytics_document(spark: SparkSession, run_date: str, n_train: int, n_test:
     return doc
 
 
+# Sections of the document: the column that names an item, and the numbers of an item.
+SECTIONS = {
+    "backtest_folds": ("fold", ["n_train", "n_test", "MAPE_pct", "MAE", "RMSE", "signed_error"]),
+    "bias_by_town": ("town", ["n", "mean_signed_error", "mae", "mape_pct"]),
+    "bias_by_flat_type": ("flat_type", ["n", "mean_signed_error", "mae", "mape_pct"]),
+    "bias_by_price_band": ("price_band", ["price_min", "price_max", "n", "mean_signed_error", "mae"]),
+    "feature_importance_top20": ("Feature", ["mean_importance"]),
+}
+
+
+def document_rows(doc: DataFrame) -> DataFrame:
+    """The nested document in long form: (section, item, metric, value)."""
+    def numbers(of: str, names: list[str]):
+        return F.explode(F.create_map(*sum([[F.lit(n), F.col(f"{of}{n}").cast("double")] for n in names], [])))
+
+    parts = [doc.select(F.explode(name).alias("r")).select(
+        F.lit(name).alias("section"), F.col(f"r.{key}").cast("string").alias("item"),
+        numbers("r.", names).alias("metric", "value")) for name, (key, names) in SECTIONS.items()]
+    parts.append(doc.select(F.explode("metrics").alias("model", "m")).select(
+        F.lit("metrics").alias("section"), F.col("model").alias("item"), F.explode("m").alias("metric", "value")))
+    parts.append(doc.select(F.lit("summary").alias("section"), F.lit("run").alias("item"),
+                            numbers("", ["n_train", "n_test"]).alias("metric", "value")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def write_document(doc: DataFrame, path: str) -> None:
     """The document as JSON text (one line)."""
     doc.select(F.to_json(F.struct(*doc.columns)).alias("value")).coalesce(1).write.mode("overwrite").text(path)

@@ -95,6 +95,27 @@ def test_price_bands_match_qcut(spark):
         assert got.loc[b, "price_min"] == row.mn and got.loc[b, "price_max"] == row.mx
 
 
+def test_error_report_equals_the_single_breakdowns(spark):
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"town": rng.choice(["A", "B", None], 400), "flat_type": rng.choice(["3", "4"], 400),
+                        "resale_price": rng.uniform(1e5, 5e5, 400)})
+    pdf["one"], pdf["two"] = pdf.resale_price * rng.uniform(0.8, 1.2, 400), 3e5
+    df = spark.createDataFrame(pdf)
+    report = E.error_report(df, {"m1": "one", "m2": "two"})
+    for model, col in (("m1", "one"), ("m2", "two")):
+        metrics, seg, bands = E.report_sections(report, model)
+        exp = E.error_by_segment(df, col).toPandas().sort_values(["segment_col", "segment"])
+        got = seg.toPandas().sort_values(["segment_col", "segment"])
+        assert got[["segment_col", "segment", "n"]].values.tolist() == exp[["segment_col", "segment", "n"]].values.tolist()
+        for c in ("mean_signed_error", "mae", "mape_pct"):
+            assert got[c].tolist() == pytest.approx(exp[c].tolist())
+        b = bands.toPandas().sort_values("price_band").reset_index(drop=True)
+        pd.testing.assert_frame_equal(b, E.error_by_price_band(df, col).toPandas(), check_dtype=False)
+        row = metrics.filter(F.col("model") == model).first()
+        one = E.evaluate(df, col).first()
+        assert [row[c] for c in ("MAE", "RMSE", "R2", "MAPE_pct")] == [one[c] for c in ("MAE", "RMSE", "R2", "MAPE_pct")]
+
+
 def test_duplicate_band_edges_raise(spark):
     df = spark.createDataFrame(pd.DataFrame({"resale_price": [1.0] * 50 + [2.0], "prediction": [1.0] * 51}))
     with pytest.raises(ValueError):
