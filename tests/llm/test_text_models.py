@@ -133,3 +133,110 @@ def test_scores_depend_on_the_text_alone(spark):
     got = quality_model.score(docs, w).toPandas()
     assert len(got) == docs.count()
     assert got.groupby(got.text.fillna("")).score.nunique().max() == 1
+
+
+def test_languages_equal_a_plain_backoff(spark):
+    """Every document of the smallest table and the odd rows, word by word from dictionaries."""
+    docs = sample_docs(spark)
+    model = language_id.train(docs, language_id.Params(words_per_language=60))  # few known words, so that many back off
+    lookup = {o: dict(zip(tokens, matrix.reshape(-1, len(model.languages)), strict=True)) for o, (tokens, matrix) in model.table.items()}
+
+    def word_scores(word):
+        if word in lookup[0]:
+            return lookup[0][word]
+        padded = f"<{word}>"
+        for n in model.params.orders:
+            hits = [lookup[n][padded[i : i + n]] for i in range(len(padded) - n + 1) if padded[i : i + n] in lookup[n]]
+            if hits:
+                return sum(hits) / len(hits)
+        return np.zeros(len(model.languages))
+
+    unseen = 0
+    for r in language_id.identify(docs, model).collect():
+        words = language_id.letters(r.text)
+        if not words:
+            assert (r.lang_pred, r.score) == (language_id.UND, 0.0)
+            continue
+        unseen += sum(w not in lookup[0] for w in set(words))
+        total = sum(word_scores(w) for w in words)
+        best = int(np.argmax(total))
+        scale = min(len(words), model.params.confidence_words) / len(words)
+        assert r.lang_pred == model.languages[best]
+        assert r.score == pytest.approx(1 / sum(np.exp((t - total[best]) * scale) for t in total))
+    assert unseen > 100
+
+
+def test_ties_of_languages_go_to_the_first_name():
+    table = {0: (["w"], np.array([[-2.0, -2.0]]))}
+    s = language_id.Scorer(language_id.Model(["de", "en"], table, language_id.Params(orders=())))
+    langs, scores = s(["w w", "w"])
+    assert langs == ["de", "de"] and scores.tolist() == [0.5, 0.5]
+
+
+def test_quality_updates_equal_a_dense_ftrl():
+    """The published per-coordinate updates over whole dense vectors, and scores as dense products."""
+    p = quality_model.Params(bits=8)
+    hasher, rng = quality_model.Hasher(p.bits), np.random.default_rng(0)
+    texts = [" ".join(rng.choice(["good", "fine", "spam", "BUY", "!!!", "$$$", "12"], 12)) for _ in range(60)] + ["", None]
+    labels = [int("spam" not in (t or "")) for t in texts]
+    size = (1 << p.bits) + 1
+    z, n = np.zeros(size), np.zeros(size)
+    quality_model.ftrl([(*hasher(t), y) for t, y in zip(texts, labels, strict=True)], z, n, p, 1.5)
+    zs, ns = [0.0] * size, [0.0] * size
+
+    def weight(i):
+        if abs(zs[i]) <= p.l1:
+            return 0.0
+        return -(zs[i] - np.sign(zs[i]) * p.l1) / ((p.beta + ns[i] ** 0.5) / p.alpha + p.l2)
+
+    def dense(text):
+        x = [0.0] * size
+        for at, value in zip(*hasher(text), strict=True):
+            x[at] = value
+        x[-1] = 1.0
+        return x
+
+    for t, y in zip(texts, labels, strict=True):
+        x, w = dense(t), [weight(i) for i in range(size)]
+        prob = 1 / (1 + np.exp(-sum(a * b for a, b in zip(w, x, strict=True))))
+        for i in range(size):
+            g = (prob - y) * x[i] * (1.0 if y else 1.5)
+            s = ((ns[i] + g * g) ** 0.5 - ns[i] ** 0.5) / p.alpha
+            zs[i] += g - s * w[i]
+            ns[i] += g * g
+    assert z == pytest.approx(zs) and n == pytest.approx(ns)
+    w = quality_model.weights(z, n, p)
+    assert w == pytest.approx([weight(i) for i in range(size)]) and np.count_nonzero(w) > 10
+
+
+def test_quality_scores_equal_dense_products(spark):
+    p = quality_model.Params(bits=10)
+    w = np.random.default_rng(1).normal(size=(1 << p.bits) + 1)
+    hasher = quality_model.Hasher(p.bits)
+    got = quality_model.score(sample_docs(spark), w, p).collect()
+    for r in got:
+        x = np.zeros(len(w))
+        at, value = hasher(r.text)
+        x[at], x[-1] = value, 1.0
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-(x * w).sum())))
+        assert r.predicted == int(r["score"] >= 0.5)
+    assert quality_model.score(sample_docs(spark).where("false"), w, p).count() == 0
+
+
+def test_toxicity_scores_equal_a_plain_forward_pass(spark):
+    """Mean of subword rows a word, mean of every window, softmax over the two classes, the best window of a text."""
+    p = toxicity.Params(bits=10, dim=4)
+    rng = np.random.default_rng(2)
+    emb, soft, bias = rng.normal(size=(1 << p.bits, p.dim)), rng.normal(size=(p.dim, 2)), rng.normal(size=2)
+    docs = sample_docs(spark).where("doc_id IS NULL OR doc_id < 120 OR doc_id > 900000")
+    for r in toxicity.score(docs, [emb, soft, bias], p).collect():
+        words = toxicity.tokens(r.text)
+        vectors = [np.mean([emb[i] for i in toxicity.rows_of(w, p)], axis=0) for w in words]
+        runs = [vectors[i : i + p.window] for i in range(max(1, len(vectors) - p.window + 1))] if vectors else []
+        best = 1 / (1 + np.exp(bias[0] - bias[1])) if not runs else 0.0
+        for run in runs:
+            logits = np.mean(run, axis=0) @ soft + bias
+            best = max(best, np.exp(logits[1]) / np.exp(logits).sum())
+        assert r["score"] == pytest.approx(best)
+        assert r.predicted == int(r["score"] >= 0.5)
+    assert toxicity.score(docs.where("false"), [emb, soft, bias], p).count() == 0
