@@ -5,11 +5,11 @@ on a bounded sample of distinct labelled texts. A known word scores with its
 per-language log frequency. An unseen word falls back to the longest n-gram
 order of which the model knows at least one n-gram, then to the next shorter one;
 the mean log frequency of its known n-grams counts. A text's language is the
-one with the largest sum over all its words, known or not.
+one with the largest sum over all its words, known or not. All words and n-grams of the sample are kept.
 
 Defined results: a null text, an empty one and one without a letter give
 ``und`` with score 0. Ties go to the language that is first by code point. With
-no labelled text at all every row is ``und``. Repeated rows are scored one by
+no labelled text at all every row is ``und``; an empty table gives no rows; very long texts are read whole. Repeated rows are scored one by
 one; extra columns of the input are ignored (or kept, see ``identify``).
 """
 
@@ -37,9 +37,8 @@ _LETTERS = re.compile(r"[^\W\d_]+").findall
 class Params:
     rows_per_language: int = 500
     """About so many distinct texts of each language are counted, once each (a hash of the text chooses them)."""
-    words_per_language: int = 20_000
-    grams_per_language: int = 4_000
-    """Of each order."""
+    words_per_language: int | None = None
+    """Known words are the most frequent of each language; by default all that the sample holds."""
     orders: tuple[int, ...] = (5, 4, 3, 2, 1)
     smoothing: float = 0.5
     confidence_words: int = 8
@@ -48,7 +47,7 @@ class Params:
 
 @dataclass
 class Model:
-    """Per-language log frequencies; its size is bounded by ``Params`` and the number of languages."""
+    """Per-language log frequencies of all that the sample holds; its size is bounded by the sample's."""
 
     languages: list[str]
     table: dict[int, tuple[list[str], np.ndarray]] = field(default_factory=dict)
@@ -165,22 +164,22 @@ def train(labelled: DataFrame, params: Params = Params()) -> Model:
         .groupBy("lang", "ord", "token")
         .agg(F.sum("n").alias("n"))
     )
-    own = W.partitionBy("lang", "ord")
-    best = (
-        counts.withColumn("all", F.sum("n").over(own))
-        .withColumn("r", F.row_number().over(own.orderBy(F.desc("n"), "token")))
-        .where(F.col("r") <= F.when(F.col("ord") == 0, params.words_per_language).otherwise(params.grams_per_language))
+    if params.words_per_language is not None:
+        rank = F.row_number().over(W.partitionBy("lang", "ord").orderBy(F.desc("n"), "token"))
+        counts = counts.withColumn("r", rank).where((F.col("ord") > 0) | (F.col("r") <= params.words_per_language))
+    # One row per token, a column of counts for each language: the model of a bounded sample, so it may reach the driver whole.
+    wide = counts.groupBy("ord", "token").agg(
+        *[F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, lang in enumerate(languages)]
     )
-    found: dict[int, dict[str, list[float]]] = {k: {} for k in (0, *orders)}
-    total = {(lang, o): 0 for lang in languages for o in found}
-    at = {lang: i for i, lang in enumerate(languages)}
-    for r in best.select("lang", "ord", "token", "n", "all").collect():
-        found[r["ord"]].setdefault(r["token"], [0.0] * len(languages))[at[r["lang"]]] = r["n"]
-        total[r["lang"], r["ord"]] = r["all"]
+    got = wide.toArrow().sort_by([("ord", "ascending"), ("token", "ascending")])
+    order = got["ord"].to_numpy()
+    freq = np.stack([got[f"n{i}"].to_numpy() for i in range(len(languages))], axis=1).astype(float)
     table = {}
-    for o, tokens in found.items():
-        low = np.array([np.log(total[lang, o] + params.smoothing * (len(tokens) + 1)) for lang in languages])
-        table[o] = (list(tokens), np.log(np.array(list(tokens.values()), float).reshape(-1, len(languages)) + params.smoothing) - low)
+    for o in (0, *orders):
+        own = slice(*np.searchsorted(order, [o, o + 1]))
+        tokens = got["token"][own].to_pylist()
+        low = np.log(freq[own].sum(axis=0) + params.smoothing * (len(tokens) + 1))
+        table[o] = (tokens, np.log(freq[own] + params.smoothing) - low)
     return Model(languages, table, params)
 
 
