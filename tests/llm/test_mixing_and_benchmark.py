@@ -201,6 +201,62 @@ def test_local_alignment():
             assert alignment_by_hand(a, b[begin:end]) == pytest.approx(value)
 
 
+def test_matches_equal_an_alignment_of_all_pairs(spark):
+    """Both ways of the join against every pair of a whole text and an item that share three words in a row; hot, short, common and repeated items."""
+    rng = random.Random(5)
+    common, rare = ["the", "of", "and", "in", "to"], [f"t{i}" for i in range(2000)]
+    draw = lambda k: [rng.choice(common if rng.random() < 0.4 else rare) for _ in range(k)]
+    items = [(i, " ".join(draw(rng.choice([6, 15, 40, 80])))) for i in range(60)]
+    items += [items[3], (77, items[4][1]), (78, "lone"), (79, None), (80, "..."), (None, "no id but nine words of text in this")]
+    rows = []
+    for i in range(150):
+        item = items[3 if i % 3 == 0 else rng.randrange(60)][1].split()
+        rows.append((i, " ".join(draw(20) + edited(rng, item, rng.choice([0, 0.1, 0.15])).split() + draw(20)) if i % 4 else " ".join(draw(90))))
+    rows += [rows[1], (None, "x no id but nine words of text in this y"), (900, ""), (901, None), (902, "a lone word")]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = []
+    for d, text in rows:
+        for i, item in items:
+            a, b = (decontaminate.tokens(x) for x in (item, text))
+            ids = {w: k for k, w in enumerate(dict.fromkeys(a + b))}
+            a, b = (np.array([ids[w] for w in x], int) for x in (a, b))
+            n = min(3, len(a))
+            runs = lambda x: {tuple(x[k : k + n]) for k in range(len(x) - n + 1)}  # noqa: B023, E731
+            if n and len(b) and decontaminate.local_alignment(a, b)[0] >= 0.5 * len(a) and runs(a) & runs(b):
+                want.append((str(d), str(i)))
+    for p in (decontaminate.Params(), decontaminate.Params(block_chars=0, salts=3, bitmap_bits=1 << 12)):
+        got = decontaminate.contaminated(docs, bench, params=p).collect()
+        assert sorted((str(r.doc_id), str(r.item_id)) for r in got) == sorted(want)
+        rows_ = sorted(map(str, got))
+        assert p.block_chars or rows_ == before
+        before = rows_
+
+
+def test_copies_with_few_edits_keep_a_seed():
+    """``enough`` seeds: whichever words are edited, up to a fifth of them or four."""
+    p, rng = decontaminate.Params(), random.Random(9)
+    words = [f"c{i}" for i in range(9)]
+    items = [{"item_id": i, "text": " ".join(rng.choices(words, k=rng.choice([12, 30, 61])))} for i in range(400)]
+    block = decontaminate.read_items(items, p)
+    own = [set() for _ in items]
+    for key, of in block.owners.items():
+        for i in of:
+            own[i].add(key)
+    dropped = 0
+    for i, w in enumerate(block.words):
+        base = len(block.vocabulary) + 1
+        at = [k for k, c in enumerate(decontaminate.coded(w, 3, base).tolist()) if (3, c) in own[i]]
+        dropped += len(w) - 2 - len(at)
+        edits = max(4, -(-len(w) // 5))
+        # The edits that break most seeds, one after another.
+        left = set(at)
+        for _ in range(edits if len(w) >= 3 * edits + 3 else 0):
+            worst = max(range(len(w)), key=lambda x: len(left & {x - 2, x - 1, x}))
+            left -= {worst - 2, worst - 1, worst}
+            assert left
+    assert dropped > 0
+
+
 def test_stages(spark, tmp_path):
     docs = sample_docs(spark)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
