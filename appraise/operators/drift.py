@@ -1,7 +1,8 @@
 """Distribution drift between a reference sample and a new sample.
 
 Both samples are unpivoted once into (feature, value, is_test) rows, so any
-number of numeric columns is handled by the same two aggregates:
+number of numeric columns is handled by the same two aggregates. Samples that are parts of
+one frame are told apart by a flag (``unpivot_split``), so the frame is computed once:
 
 * KS: counts per distinct (feature, value), exact running sums by
   ``running_totals`` (no single-partition window), statistic = max gap of
@@ -31,20 +32,24 @@ def numeric_columns(df: DataFrame, exclude: list[str] | None = None) -> list[str
             if isinstance(f.dataType, T.NumericType) and f.name not in ex]
 
 
+def _long(df: DataFrame, cols: list[str], is_test: Column) -> DataFrame:
+    pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols]
+    rows = df.select(is_test.alias("is_test"), F.explode(F.array(*pairs)).alias("_kv")).select("_kv.*", "is_test")
+    return rows.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def unpivot_split(df: DataFrame, is_test: Column, cols: list[str]) -> DataFrame:
+    """(feature, value, is_test) from one frame; nulls dropped, and rows whose flag is null."""
+    return _long(df.filter(is_test.isNotNull()), cols, is_test)
+
+
 def unpivot_samples(train: DataFrame, test: DataFrame, cols: list[str]) -> DataFrame:
     """(feature, value, is_test) for the columns present in both samples; nulls dropped."""
     cols = [c for c in cols if c in train.columns and c in test.columns]
     if not cols:
         raise ValueError("no common columns to compare")
 
-    def longify(df: DataFrame, flag: bool) -> DataFrame:
-        return df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in cols
-        ])).alias("_kv")).select("_kv.*", F.lit(flag).alias("is_test"))
-
-    return longify(train, False).unionByName(longify(test, True)).filter(
-        F.col("value").isNotNull() & ~F.isnan("value")
-    )
+    return _long(train, cols, F.lit(False)).unionByName(_long(test, cols, F.lit(True)))
 
 
 def kolmogorov_sf(lam: Column) -> Column:
@@ -103,7 +108,7 @@ def ks_from_counts(vc: DataFrame) -> DataFrame:
 
 
 def psi_from_counts(vc: DataFrame, bins: int = 10, eps: float = PSI_EPS) -> DataFrame:
-    """Population stability index per feature (test vs train) from per-value counts."""
+    """Population stability index per feature (test vs train) from counts of values, each once or in several rows."""
     stats = vc.groupBy("feature").agg(
         F.min("value").alias("mn"), F.max("value").alias("mx"),
         F.sum("n_train").alias("N1"), F.sum("n_test").alias("N2"),
@@ -129,15 +134,21 @@ def ks_by_feature(long: DataFrame) -> DataFrame:
 
 
 def psi_by_feature(long: DataFrame, bins: int = 10, eps: float = PSI_EPS) -> DataFrame:
-    """D9 from the unpivoted samples."""
-    return psi_from_counts(value_counts(long), bins, eps)
+    """D9 from the unpivoted samples: written once, then read for the bounds and for the bins; values aren't shuffled."""
+    test = F.col("is_test").cast("long")
+    rows = materialize(long).select("feature", "value", (1 - test).alias("n_train"), test.alias("n_test"))
+    return psi_from_counts(rows, bins, eps)
 
 
 def drift_report(train: DataFrame, test: DataFrame, cols: list[str] | None = None,
                  psi_threshold: float = 0.2) -> DataFrame:
     """(feature, ks_stat, ks_p, psi, flagged); flagged when psi > threshold (strict)."""
-    cols = cols or numeric_columns(train)
-    vc = value_counts(unpivot_samples(train, test, cols))
+    return drift_of_long(unpivot_samples(train, test, cols or numeric_columns(train)), psi_threshold)
+
+
+def drift_of_long(long: DataFrame, psi_threshold: float = 0.2) -> DataFrame:
+    """D10 from the unpivoted samples."""
+    vc = value_counts(long)
     ks = ks_from_counts(vc)
     psi = psi_from_counts(vc)
     return ks.join(psi, "feature").select(

@@ -100,8 +100,7 @@ class Job:
         cov = Q.coverage(tx.select("block", "street_name", "latitude").distinct(), "latitude").first() if "latitude" in tx.columns else None
         split = J.split_by_cutoff(tx, c.features.cutoff + "-01")
         nums = D.numeric_columns(tx, ["resale_price"]) + ["resale_price"]
-        drift = D.drift_report(split.filter("split = 'train'"), split.filter("split = 'test'"), nums,
-                               c.psi_threshold).cache()
+        drift = D.drift_of_long(D.unpivot_split(split, F.col("split") == "test", nums), c.psi_threshold).cache()
         flagged = [r["feature"] for r in drift.filter("flagged").collect()]
         entries = [
             ("schema", "transaction_contract", n_tx == 0, n_tx, f"{n_tx} failure rows"),

@@ -208,12 +208,10 @@ def q_stream_scored_requests(spark, sf):
 @register("batch_requests", with_views(f"""
 SELECT tx_id AS request_id, town, floor_area_sqm FROM tx WHERE month >= DATE '{FeatureConfig().cutoff}-01'""", "tx"))
 def q_batch_requests(spark, sf):
-    """Requests gathered into one batch document per building, exploded into rows again."""
-    from appraise.streaming.scoring import REQUEST_SCHEMA, explode_batches
+    """Requests gathered into batch documents of a building, about a hundred requests each, exploded into rows again."""
+    from appraise.streaming.scoring import explode_batches, gather_batches
 
-    row = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in REQUEST_SCHEMA.fields])
-    batches = _requests(spark, sf).groupBy(F.col("block").alias("batch_id")).agg(F.collect_list(row).alias("instances"))
-    rows, _ = explode_batches(batches)
+    rows, _ = explode_batches(gather_batches(_requests(spark, sf), "block"))
     return rows.select("request_id", "town", "floor_area_sqm")
 
 

@@ -264,7 +264,7 @@ def _long(spark, sf):
     from appraise.operators import drift as D
 
     fx = feature_frame(spark, sf)
-    return D.unpivot_samples(fx.filter("split = 'train'"), fx.filter("split = 'test'"), FEATURE_NUMERICS)
+    return D.unpivot_split(fx, F.col("split") == "test", FEATURE_NUMERICS)
 
 
 @register("ks_by_feature", _drift_sql(f"""
@@ -289,5 +289,4 @@ FROM ksp k JOIN psi p USING (feature)"""))
 def q_drift_report(spark, sf):
     from appraise.operators import drift as D
 
-    fx = feature_frame(spark, sf)
-    return D.drift_report(fx.filter("split = 'train'"), fx.filter("split = 'test'"), FEATURE_NUMERICS, 0.2)
+    return D.drift_of_long(_long(spark, sf), 0.2)

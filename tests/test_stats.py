@@ -163,6 +163,20 @@ def test_drift_matches_numpy_and_flags_shift(spark):
     assert rep.loc["area", "ks_p"] > 0.01
 
 
+def test_drift_of_one_flagged_frame(spark):
+    """The parts of one frame give what two frames give; PSI of the raw rows equals PSI of the counts of values."""
+    rng = np.random.default_rng(13)
+    rows = pd.DataFrame({"a": rng.normal(0, 1, 900), "b": rng.integers(0, 9, 900).astype(float), "split": rng.choice(["train", "test", "other"], 900)})
+    rows.loc[::50, "a"] = np.nan
+    df = spark.createDataFrame(rows)
+    flag = F.when(F.col("split") != "other", F.col("split") == "test")
+    long = D.unpivot_split(df, flag, ["a", "b"])
+    got = {r.feature: r for r in D.drift_of_long(long).collect()}
+    want = {r.feature: r for r in D.drift_report(df.filter("split = 'train'"), df.filter("split = 'test'"), ["a", "b"]).collect()}
+    assert got == want and set(got) == {"a", "b"}
+    assert {r.feature: r.psi for r in D.psi_by_feature(long).collect()} == {k: r.psi for k, r in want.items()}
+
+
 def test_constant_column_psi_zero(spark):
     tr = spark.createDataFrame(pd.DataFrame({"c": [5.0] * 10}))
     te = spark.createDataFrame(pd.DataFrame({"c": [5.0] * 4}))
