@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from appraise.llm.common import saved, words
 
+SLOTS_AT_ONCE = 200_000
 MAX_SOURCES = 100_000
 WEIGHTS = (5.0, 2.0, 1.0)
 
@@ -195,10 +196,15 @@ def slot_table(spark, sources: Sources, block_words: int, shard_slots: int, seed
     in_shard = F.sum("n").over(W.partitionBy("shard").orderBy("s").rowsBetween(W.unboundedPreceding, 0)) - F.col("n")
     numbered = counts.withColumn("first", first).withColumn("slot", in_shard)
 
-    def fill(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def bounded(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows of about ``SLOTS_AT_ONCE`` slots; one row has at most ``shard_slots``."""
         for pdf in it:
-            if not len(pdf):
-                continue
+            if len(pdf):
+                part = np.cumsum(pdf["n"].to_numpy()) // SLOTS_AT_ONCE
+                yield from (own for _, own in pdf.groupby(part))
+
+    def fill(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in bounded(it):
             n = pdf["n"].to_numpy()
             run = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
             s, k = np.repeat(pdf["s"].to_numpy(np.int64), n), np.repeat(pdf["first"].to_numpy(), n) + run

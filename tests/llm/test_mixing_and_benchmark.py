@@ -111,6 +111,33 @@ def test_quotas_by_hand():
         assert words == round(float(target[0]))
 
 
+def test_taken_words_slot_by_slot(spark, monkeypatch):
+    """Every slot is replayed in plain Python over the words of its source; large and small steps of slots give the same."""
+    docs = sample_docs(spark).repartition(3)
+    m = mixing.mix(docs, block=16, shard_slots=64)
+    order = {}
+    for r in m.rows.where("size > 0").collect():
+        order.setdefault(r.s, {}).update({r.place + k: (r.key, r.place) for k in range(r["size"])})
+    want, slots, asked = {}, m.slots.collect(), {}
+    for x in slots:
+        own = order[x.s]
+        at = [p for p in range(x.block * m.block, (x.block + 1) * m.block) if p in own][: x["take"]]
+        asked[x.s] = asked.get(x.s, 0) + len(at)
+        for p in at:
+            want[x.s, own[p][1]] = want.get((x.s, own[p][1]), 0) + 1
+    assert len({(x.shard, x.slot) for x in slots}) == len(slots)
+    sources = {r.s: r.source for r in m.rows.collect()}
+    target = {r.source: r.target for r in mixing.taken(m).collect()}
+    assert all(abs(n - target[sources[s]]) <= 1 for s, n in asked.items())
+    got = mixing.taken(m)
+    by_row = {(r.s, r.place): r.key for r in m.rows.where("size > 0").collect()}
+    plain = sorted((str(by_row[k]), n) for k, n in want.items())
+    assert sorted((str(r.doc_id), r.taken) for r in got.where("taken > 0").collect()) == plain
+    monkeypatch.setattr(mixing, "SLOTS_AT_ONCE", 100)
+    again = mixing.slot_table(spark, m.sources, 16, 64, 20).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, slots))
+
+
 def test_mix_of_nothing(spark):
     assert mixing.taken(mixing.mix(odd_docs(spark).where("false"))).count() == 0
     blank = mixing.taken(mixing.mix(odd_docs(spark).where("doc_id in (900001, 900002)"))).collect()
