@@ -259,6 +259,18 @@ def test_matches_equal_an_alignment_of_all_pairs(spark):
         before = rows_
 
 
+def test_shuffled_join_of_odd_tables(spark):
+    """Items without a word, no documents, and columns with the names that the join uses inside."""
+    p = decontaminate.Params(block_chars=0)
+    docs = spark.createDataFrame([(1, "alpha beta gamma delta", "mine", 5)], "doc_id long, text string, row string, i int")
+    bench = spark.createDataFrame([(1, "alpha beta gamma delta"), (2, "...")], "item_id long, text string")
+    got = decontaminate.find(docs, bench, p)
+    assert got.columns == ["doc_id", "text", "row", "i", "matches"]
+    assert [(r.row, r.i, [m.item_id for m in r.matches]) for r in got.collect()] == [("mine", 5, [1])]
+    assert [r.matches for r in decontaminate.find(docs, bench.where("item_id = 2"), p).collect()] == [[]]
+    assert decontaminate.find(docs.where("false"), bench, p).count() == 0
+
+
 def test_copies_with_few_edits_keep_a_seed():
     """``enough`` seeds: whichever words are edited, up to a fifth of them or four."""
     p, rng = decontaminate.Params(), random.Random(9)
