@@ -147,3 +147,27 @@ def test_walk_forward_with_two_features(spark):
         error = np.column_stack([test.a, test.b, np.ones(len(test))]) @ w - test.resale_price
         assert (r.n_train, r.n_test) == (len(train), len(test))
         assert r.MAE == pytest.approx(np.abs(error).mean(), abs=0.006) and r.RMSE == pytest.approx(np.sqrt((error**2).mean()), abs=0.006)
+
+
+def test_vector_gramian_equals_numpy_and_moves_no_zero_tiles(spark):
+    """Sparse and dense vectors, one-hot blocks of rare values and a few common columns."""
+    from appraise.operators import gramian as GR
+
+    rng = np.random.default_rng(15)
+    n, a, b = 400, 300, 250
+    x = np.zeros((n, 3 + a + b + 1))
+    x[:, :3] = rng.normal(0, 1, (n, 3))
+    x[np.arange(n), 3 + rng.integers(0, a, n)] = 1
+    x[np.arange(n), 3 + a + rng.integers(0, b, n)] = rng.choice([1.0, -2.0], n)
+    y, k = rng.normal(5, 1, n), np.arange(n) % 3
+    vectors = [Vectors.dense(r) if i % 7 == 0 else Vectors.sparse(len(r), np.flatnonzero(r), r[r != 0]) for i, r in enumerate(x)]
+    df = spark.createDataFrame([(v, float(t), int(g)) for v, t, g in zip(vectors, y, k, strict=True)], ["features", "y", "k"]).repartition(3)
+    got = GR.vector_gramian(df, "features", F.col("y"), x.shape[1], F.col("k"), tile=64)
+    whole = np.column_stack([x, y, np.ones(n)])
+    assert set(got) == {0, 1, 2}
+    for g, m in got.items():
+        assert np.allclose(m, whole[k == g].T @ whole[k == g])
+    few = np.column_stack([x[:, 0], x[:, 1], x[:, 2]])
+    df = spark.createDataFrame([(Vectors.dense(r), float(t), 0) for r, t in zip(few, y, strict=True)], ["features", "y", "k"])
+    whole = np.column_stack([few, y, np.ones(n)])
+    assert np.allclose(GR.vector_gramian(df, "features", F.col("y"), 3, F.col("k"))[0], whole.T @ whole)
