@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from appraise.operators.drift import numeric_columns
 from appraise.operators.gramian import Sweep, tiled_gramian
+from appraise.session import scratch_path
 
 
 def null_free_columns(df: DataFrame, cols: list[str]) -> list[str]:
@@ -235,9 +237,16 @@ def _swept_vif(gm: Gramian, sweep: Sweep, left: np.ndarray) -> np.ndarray:
 def collinearity_tables(spark: SparkSession, df: DataFrame, cols: list[str], target: str | None = None,
                         vif_threshold: float = 10.0, corr_threshold: float = 0.85
                         ) -> dict[str, DataFrame | list[str]]:
-    """Stage 4 (A13): corr pairs, VIF before/after (full outer join, C10), dropped list."""
+    """Stage 4 (A13): corr pairs, VIF before/after (full outer join, C10), dropped list.
+
+    The columns are written once: the passes over them don't repeat the joins behind ``df``.
+    """
     protected = [target] if target else []
     cols = [c for c in cols if c != target]
+    if cols:
+        path = scratch_path(spark, f"collinearity-{uuid.uuid4().hex}")
+        df.select(*cols).write.parquet(path)
+        df = spark.read.schema(df.select(*cols).schema).parquet(path)
     pairs = correlation_screen(df, cols, corr_threshold, protected)
     clean = null_free_columns(df, cols)
     gm = gramian(df, clean)

@@ -293,3 +293,20 @@ def test_top_segments(spark):
     assert sorted(r.n for r in top) == [25, 26, 27, 28, 29]
     assert [r.mean_signed_error for r in top] == sorted([r.mean_signed_error for r in top], reverse=True)
     assert F is not None
+
+
+def test_collinearity_reads_its_input_once(spark):
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame(rng.normal(0, 1, (200, 3)), columns=["a", "b", "c"])
+    pdf["d"], pdf["y"] = pdf.a + 0.01 * pdf.b, 2 * pdf.c
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    df = spark.createDataFrame(pdf)
+    t = CL.collinearity_tables(spark, df.mapInPandas(count, df.schema), list(pdf.columns), "y")
+    assert t["dropped_list"] in (["a"], ["d"]) and t["vif"].count() == 4 and t["corr_pairs"].count() == 1
+    assert read.value == 200
