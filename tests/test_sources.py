@@ -6,6 +6,8 @@ import datetime as dt
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from appraise.sources import readers as RD
 
 ROW = {"town": "A", "flat_type": "4 ROOM", "block": "1", "street_name": "X ST", "storey_range": "01 TO 03",
@@ -66,3 +68,28 @@ def test_lookup_and_series(spark, scratch):
         fh.write("month,sora_3m,cpi_all_items,cpi_housing,hdb_rpi,gdp_growth_qoq,unemployment_rate,cooling_measure\n")
         fh.write("2021-01-01,0.4,100,101,150,1.2,2.8,0\n")
     assert RD.read_series_csv(spark, s).first().month == dt.date(2021, 1, 1)
+
+
+def test_record_pages_make_the_sales_once(spark, monkeypatch):
+    from appraise.plans import q_sources as Q
+
+    rows = [(f"{k}-1-1-1", f"{1996 + k % 4}-0{1 + k % 9}-01", float(k)) for k in range(0, 2400, 50)]
+    df = spark.createDataFrame(rows, "tx_id string, month string, resale_price double").withColumn("month", F.to_date("month"))
+    df = df.withColumns({f.name: F.lit("1").cast(f.dataType) for f in RD.TX_CSV_SCHEMA.fields if f.name not in df.columns})
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    monkeypatch.setattr(Q.T, "transactions", lambda *a, **k: df.mapInPandas(count, df.schema))
+    got = {r.month: (r.n, r.total_price) for r in Q.q_record_pages(spark, "unused").collect()}
+    want = {}
+    for tx, month, price in rows:
+        if int(tx.split("-")[0]) // Q.PAGE_KEYS < 3:  # pages 0 to 5: the empty one is 5 * 3 // 4
+            n, total = want.get(month[:7], (0, 0.0))
+            want[month[:7]] = (n + 1, total + price)
+    assert got == want and read.value == len(rows)
+    monkeypatch.setattr(Q.T, "transactions", lambda *a, **k: df.limit(0))
+    assert Q.q_record_pages(spark, "unused").count() == 0
