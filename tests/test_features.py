@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from appraise.functions import parse as P
 from appraise.operators import joins as J
 
+from .conftest import SF_SMALL
+
 
 def test_storey_mid(spark):
     df = spark.createDataFrame([("01 TO 03",), ("10 TO 12",), ("19 TO 21",), ("04 TO 06",), ("bad",)], "s string")
@@ -160,3 +162,22 @@ def test_sql_functions(spark):
     r = spark.sql("SELECT storey_mid('07 TO 09') AS a, lease_months('73 years 05 months') AS b, "
                   "lease_months('61 years 1 month') AS c, storey_mid('bad') AS d").first()
     assert (r.a, r.b, r.c, r.d) == (8.0, 881, 732, None)
+
+
+def test_joins_of_the_feature_stage_run_once(spark):
+    """Rows of sales that carry a counter: read once for all passes of the feature stage and of its readers."""
+    from appraise.plans.features import FeatureConfig, processed_frame
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(f"t{i}", dt.date(2000 + i % 2, 1 + i % 12, 1), f"Brand#{i % 4 + 10 * (i % 2)}", "01 TO 03", "60 years", float(i)) for i in range(60)]
+    schema = "tx_id string, month date, flat_model string, storey_range string, remaining_lease string, resale_price double"
+    sales = spark.createDataFrame(rows, schema).mapInArrow(counted, schema)
+    out = processed_frame(spark, SF_SMALL, FeatureConfig(), sales)
+    assert out.count() == 60 and out.filter("split = 'test'").select("flat_model").distinct().collect() == [("Brand#1",)]
+    assert seen.value == 60

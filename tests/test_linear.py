@@ -171,3 +171,40 @@ def test_vector_gramian_equals_numpy_and_moves_no_zero_tiles(spark):
     df = spark.createDataFrame([(Vectors.dense(r), float(t), 0) for r, t in zip(few, y, strict=True)], ["features", "y", "k"])
     whole = np.column_stack([few, y, np.ones(n)])
     assert np.allclose(GR.vector_gramian(df, "features", F.col("y"), 3, F.col("k"))[0], whole.T @ whole)
+
+
+def test_least_squares_equals_numpy_however_wide_a_category_is(spark, monkeypatch):
+    """Predictions of an exact solver, with and without rows of no level; tasks that hold fewer levels than there are pass them on."""
+    rng = np.random.default_rng(21)
+    n, k, m = 3000, 700, 6
+    level, kind = rng.integers(-1, k, n), rng.integers(0, m, n)
+    x = np.zeros((n, 3 + m + k))
+    x[:, :2] = rng.normal(0, 1, (n, 2))
+    x[:, 2] = (level % 5 == 0) & (kind > 2)
+    x[np.arange(n), 3 + kind] = 1
+    x[level >= 0, 3 + m + level[level >= 0]] = 1
+    y = 40 + x @ rng.normal(0, 3, x.shape[1]) + rng.normal(0, 1, n)
+    blocks = [(3, 3 + m), (3 + m, 3 + m + k)]
+    vectors = [Vectors.dense(r) if i % 9 == 0 else Vectors.sparse(len(r), np.flatnonzero(r), r[r != 0]) for i, r in enumerate(x)]
+    df = spark.createDataFrame([(v, float(t), int(g)) for v, t, g in zip(vectors, y, level, strict=True)], ["features", "y", "g"]).repartition(5)
+    for held, least in ((L.HELD, -1), (64, -1), (300, 0)):
+        monkeypatch.setattr(L, "HELD", held)
+        rows = df.where(F.col("g") >= least)
+        mine = level >= least
+        found = L.least_squares(rows, "y", x.shape[1], blocks)
+        whole = np.column_stack([x[mine], np.ones(mine.sum())])
+        want = whole @ np.linalg.lstsq(whole, y[mine], rcond=None)[0]
+        assert x[mine] @ found.coefficients + found.intercept == pytest.approx(want, abs=1e-7)
+        got = sorted(tuple(r) for r in found.transform(rows, "y").collect())
+        assert np.allclose(got, sorted(zip(y[mine], want, strict=True)))
+        # A row without a level where each training row has one: effects are about a mean of 0.
+        for i, j in blocks[: 1 if least < 0 else 2]:
+            p = x[mine, i:j].mean(axis=0)
+            assert np.average(found.coefficients[i:j], weights=p * (1 - p)) == pytest.approx(0, abs=1e-7)
+
+
+def test_least_squares_without_categories_and_with_unknown_targets(spark):
+    rows = [(Vectors.dense([float(i), 1.0]), 3.0 * i + 2) for i in range(20)] + [(Vectors.dense([5.0, 1.0]), None)]
+    df = spark.createDataFrame(rows, ["features", "y"])
+    got = L.least_squares(df, "y", 2, []).transform(df, "y").where("y IS NOT NULL").collect()
+    assert [r.prediction for r in got] == pytest.approx([r.y for r in got])
