@@ -178,6 +178,14 @@ def test_joins_of_the_feature_stage_run_once(spark):
     rows = [(f"t{i}", dt.date(2000 + i % 2, 1 + i % 12, 1), f"Brand#{i % 4 + 10 * (i % 2)}", "01 TO 03", "60 years", float(i)) for i in range(60)]
     schema = "tx_id string, month date, flat_model string, storey_range string, remaining_lease string, resale_price double"
     sales = spark.createDataFrame(rows, schema).mapInArrow(counted, schema)
-    out = processed_frame(spark, SF_SMALL, FeatureConfig(), sales)
+    out = processed_frame(spark, SF_SMALL, FeatureConfig(), sales, write=True)
     assert out.count() == 60 and out.filter("split = 'test'").select("flat_model").distinct().collect() == [("Brand#1",)]
     assert seen.value == 60
+
+
+def test_enriched_by_building_gives_the_same_rows(spark):
+    from appraise.plans.features import enriched_by_building, enriched_sales
+
+    a, b = enriched_sales(spark, SF_SMALL), enriched_by_building(spark, SF_SMALL)
+    assert a.schema == b.schema
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
