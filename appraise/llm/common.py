@@ -20,6 +20,12 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
+ROWS_AT_ONCE = 1000
+"""Rows of a batch that ``map_batches`` hands to its function and returns at a time."""
+
+BATCH_BYTES = 2 << 20
+"""About so many bytes of rows go to a Python worker in one record batch (see ``small_batches``)."""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -122,21 +128,34 @@ def train_in_rounds(
     return state
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Record batches for Python workers hold ``BATCH_BYTES``, unless the session has a size of its own.
+
+    By default they hold 10,000 rows or 64 MB; executors and workers keep several copies of a batch outside the heap.
+    """
+    key, default = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+    if spark.conf.get(key, default) == default:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: T.StructType | str) -> DataFrame:
     """``mapInArrow`` with a function from a record batch to the columns it sets or adds.
 
-    Columns of ``schema`` that ``fn`` doesn't return are taken over from the batch, whatever their type.
+    Columns of ``schema`` that ``fn`` doesn't return are taken over from the batch, whatever their type. ``fn`` gets
+    ``ROWS_AT_ONCE`` rows at most, so neither its Python objects nor what goes back grow with the session's batch size.
     """
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     arrow = to_arrow_schema(schema)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            made = fn(batch)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(made[f.name], f.type) if f.name in made else batch.column(f.name).cast(f.type) for f in arrow],
-                schema=arrow,
-            )
+        for whole in it:
+            for at in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(at, ROWS_AT_ONCE)
+                made = fn(batch)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(made[f.name], f.type) if f.name in made else batch.column(f.name).cast(f.type) for f in arrow],
+                    schema=arrow,
+                )
 
     return df.mapInArrow(run, schema)

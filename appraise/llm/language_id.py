@@ -30,6 +30,8 @@ from pyspark.sql import types as T
 from appraise.llm.common import below, map_batches
 
 UND = "und"
+TEXTS_AT_ONCE = 100
+"""Texts of the sample whose words and n-grams a task counts before it passes the counts on."""
 _LETTERS = re.compile(r"[^\W\d_]+").findall
 
 
@@ -145,7 +147,8 @@ def train(labelled: DataFrame, params: Params = Params()) -> Model:
     orders = params.orders
 
     def count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
+        parts = (pdf.iloc[at : at + TEXTS_AT_ONCE] for pdf in it for at in range(0, len(pdf), TEXTS_AT_ONCE))
+        for pdf in parts:  # their counts are added up below
             of: Counter = Counter()
             for lang, got in pdf.groupby("lang")["text"]:
                 own: Counter = Counter()

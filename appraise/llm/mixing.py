@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -112,7 +113,7 @@ def streams(sized: DataFrame, sources: Sources, per_bucket: int = 20_000) -> Dat
     places are counted inside a bucket, so no source is ordered in one task.
     """
     spark, buckets = sized.sparkSession, max(16, sources.rows // per_bucket)
-    names = [(i, n) for i, n in enumerate(sources.names)]
+    names = pa.table({"s": pa.array(range(len(sources.names)), pa.int32()), "name": pa.array(sources.names, pa.string())})
     index = F.broadcast(spark.createDataFrame(names, "s int, name string"))  # at most MAX_SOURCES rows
     rows = sized.join(index, sized["source"].eqNullSafe(index["name"])).drop("name")
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("key", "size"), F.lit(buckets)).cast("int"))
@@ -277,7 +278,8 @@ def taken(m: Mix, key: str = "doc_id") -> DataFrame:
     uses = m.slots.groupBy("s", "block").agg(F.count(F.when(~part, 1)).alias("uses"), F.coalesce(F.max(F.when(part, F.col("take"))), F.lit(0)).alias("part"))
     of = F.col("n") * F.col("uses") + taken_of_piece(m, F.col("part"))
     words_taken = m.fragments.join(uses, ["s", "block"]).groupBy("s", "place").agg(F.sum(of).alias("taken"))
-    facts = [(i, int(a), float(t)) for i, (a, t) in enumerate(zip(m.sources.size, m.sources.target, strict=True))]
+    n = len(m.sources.names)
+    facts = pa.table({"s": pa.array(range(n), pa.int32()), "source_size": m.sources.size.astype(np.int64), "target": m.sources.target.astype(float)})
     facts = F.broadcast(spark.createDataFrame(facts, "s int, source_size long, target double"))  # at most MAX_SOURCES rows
     got = m.rows.withColumn("at", F.when(F.col("size") > 0, F.col("place")))
     words_taken = words_taken.withColumnRenamed("place", "at")

@@ -8,7 +8,8 @@
 
 All stages but the last return the columns of ``documents``, whatever their names: verdicts are held in columns whose names
 are free. A null or empty text has no language and goes in the first stage; very long texts are read whole; of repeated rows
-and of ties (copies with the same key) the one with the least key and digest stays in the second; empty tables pass all stages as no rows. SQL can't express them (trained model, alignment,
+and of ties (copies with the same key) the one with the least key and digest stays in the second; empty tables pass all stages as no rows. Rows go
+to Python workers in batches of bounded bytes (``small_batches``). SQL can't express them (trained model, alignment,
 pseudorandom draws), so there is no oracle; ``tests/llm/test_mixing_and_benchmark.py`` holds every stage against plain Python.
 """
 
@@ -18,13 +19,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from appraise.llm import decontaminate, jaccard, language_id, mixing, secrets
-from appraise.llm.common import documents, free_name, saved, table
+from appraise.llm.common import documents, free_name, saved, small_batches, table
 
 MIN_LANGUAGE_SCORE = 0.4
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows with a known language. Without any labelled row, all that have a letter stay."""
+    small_batches(spark)
     model = language_id.train(docs)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
@@ -35,20 +37,24 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return jaccard.representatives(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     into = free_name(docs, "matches")
     found = decontaminate.find(docs, table(spark, sf_dir, "benchmark"), into=into)
     return found.where(F.size(into) == 0).select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return secrets.mask_documents(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return mixing.taken(mixing.mix(docs))
 
 

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -352,3 +353,35 @@ def test_stages_leave_columns_of_the_caller(spark):
         assert got and all((r.score, r.lang_pred, r["_k"], r.digest, r.matches, r.n, r["size"]) == ("mine", 7, ["k"], 1.5, "none", 2 * r.doc_id, "big") for r in got), name
     for name, stage in P.STAGES:
         assert stage(spark, docs.limit(0), SF_SMALL).collect() == [], name
+
+
+def test_batches_are_small(spark):
+    """Stages hand Python workers batches of bounded bytes and rows, whatever the session's default."""
+    from pyspark.sql import functions as F
+
+    from appraise.llm.common import BATCH_BYTES, ROWS_AT_ONCE, map_batches
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(0, 3500, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 800).alias("text"))
+    docs = docs.withColumns({"lang": F.lit("en"), "source": F.lit("a")})
+    try:
+        spark.conf.unset(key)
+        corpus_pipeline.mask_secrets(spark, docs, "")
+        got = docs.mapInArrow(lambda it: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["size"]) for b in it), "size long").collect()
+        assert len(got) > 3 and max(r["size"] for r in got) <= 1.5 * BATCH_BYTES
+        spark.conf.unset(key)
+        rows = map_batches(docs.select("doc_id"), lambda b: {"n": [b.num_rows] * b.num_rows}, "doc_id long, n long").collect()
+        assert [r.doc_id for r in rows] == list(range(3500)) and max(r.n for r in rows) <= ROWS_AT_ONCE
+        spark.conf.set(key, "1m")
+        corpus_pipeline.mask_secrets(spark, docs, "")
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key)
+
+
+def test_sources_need_no_python_tasks(spark, monkeypatch):
+    """The list of sources becomes a table without a task in a second set of Python workers."""
+    from pyspark import RDD
+
+    monkeypatch.setattr(RDD, "_to_java_object_rdd", lambda self: pytest.fail("rows went through Python workers"))
+    assert mixing.taken(mixing.mix(odd_docs(spark))).count() == odd_docs(spark).count()
