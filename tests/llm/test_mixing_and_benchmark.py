@@ -383,5 +383,7 @@ def test_sources_need_no_python_tasks(spark, monkeypatch):
     """The list of sources becomes a table without a task in a second set of Python workers."""
     from pyspark import RDD
 
+    docs = odd_docs(spark)
+    n = docs.count()
     monkeypatch.setattr(RDD, "_to_java_object_rdd", lambda self: pytest.fail("rows went through Python workers"))
-    assert mixing.taken(mixing.mix(odd_docs(spark))).count() == odd_docs(spark).count()
+    assert mixing.taken(mixing.mix(docs)).count() == n
