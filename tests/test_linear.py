@@ -225,3 +225,32 @@ def test_wide_linear_member_equals_the_normal_equations(spark):
     plain, wide = (M.linear_predictions(enc, enc.transform(train), enc.transform(test), "y", ["s", "t"], ["x"], normal).collect()
                    for normal in (4096, 0))
     assert [r.prediction for r in wide] == pytest.approx([r.prediction for r in plain], rel=1e-3)
+
+
+def test_a_wide_category_is_kept_apart_in_grids(spark, monkeypatch):
+    """The same errors, choices and coefficients as from all cross products, without a matrix of all columns on the driver."""
+    rng = np.random.default_rng(33)
+    n, k, m = 4000, 400, 4
+    level, kind = rng.integers(-1, k - 20, n), rng.integers(0, m, n)
+    x = np.zeros((n, 2 + k + m))
+    x[:, :2] = rng.normal(0, 1, (n, 2))
+    x[level >= 0, 2 + level[level >= 0]] = 1
+    x[np.arange(n), 2 + k + kind] = 1
+    y = 40 + x @ rng.normal(0, 3, x.shape[1]) + rng.normal(0, 1, n)
+    rows = [(Vectors.sparse(len(r), np.flatnonzero(r), r[r != 0]), float(t)) for r, t in zip(x, y, strict=True)]
+    df = spark.createDataFrame(rows, ["features", "y"]).repartition(3).persist()
+    blocks = [(2, 2 + k), (2 + k, 2 + k + m)]
+    plain = L.fold_sums(df, "y", 3)
+    for held in (L.HELD, 150):
+        monkeypatch.setattr(L, "HELD", held)
+        apart = L.fold_sums(df, "y", 3, blocks=blocks)
+        assert set(apart) == set(plain)
+        for g, s in apart.items():
+            assert max(s.total.size, s.levels.size) < x.shape[1] ** 2 / 20
+            other = np.r_[0:2, 2 + k : 2 + k + m + 2]
+            assert np.allclose(s.total, plain[g][np.ix_(other, other)]) and np.allclose(s.levels, plain[g][2 : 2 + k][:, other])
+        for alphas, ratios in (([0.1, 1.0, 10.0], None), ([0.001, 0.01, 0.1], [1.0]), ([0.002, 0.05], [0.5, 0.95])):
+            want, got = L.grid_search(plain, alphas, ratios), L.grid_search(apart, alphas, ratios)
+            assert (got.alpha, got.l1) == (want.alpha, want.l1)
+            assert [e for *_, e in got.grid] == pytest.approx([e for *_, e in want.grid], rel=1e-8)
+            assert got.coefficients == pytest.approx(want.coefficients, abs=1e-6) and got.intercept == pytest.approx(want.intercept, abs=1e-6)
