@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from appraise.functions import parse as P
 from appraise.plans.catalog import register
 from appraise.plans.oracle_views import with_views
-from appraise.session import scratch_path
+from appraise.session import scratch_path, shuffles_removed, written
 from appraise.sources import readers as RD
 from appraise.sources import tables as T
 
@@ -60,17 +60,19 @@ FROM p, g WHERE page < gap AND month BETWEEN DATE '1996-01-01' AND DATE '2000-12
 def q_record_pages(spark, sf):
     """A2: the sales as JSON pages without a page field, one of them empty; read up to that page, a range of months."""
     key = F.split("tx_id", "-")[0].cast("long")
-    tx = T.transactions(spark, sf).withColumn("page", F.floor(key / PAGE_KEYS))
+    tx = written(T.transactions(spark, sf, orders_first=True))  # the joins' shuffle files are gone before the pages are gathered
+    tx = tx.withColumn("page", F.floor(key / PAGE_KEYS))
     record = F.struct(F.date_format("month", "yyyy-MM").alias("month"), *[
         F.col(f.name).cast("string").alias(f.name) for f in RD.TX_CSV_SCHEMA.fields[1:]])
     pages = tx.groupBy("page").agg(F.to_json(F.struct(F.struct(F.collect_list(record).alias("records")).alias("result"))).alias("value"))
     path = scratch_path(spark, f"pages-{uuid.uuid4().hex}")
-    pages.write.partitionBy("page").text(path)
-    written = spark.read.format("binaryFile").load(path)  # of the files only their folders' numbers are asked for
-    if "page" not in written.columns:
+    with shuffles_removed(spark):
+        pages.write.partitionBy("page").text(path, compression="gzip")  # names and values repeat in every record
+    files = spark.read.format("binaryFile").load(path)  # of the files only their folders' numbers are asked for
+    if "page" not in files.columns:
         return spark.createDataFrame([], "month string, n long, total_price double")
-    last = written.agg(F.max("page").alias("m")).first()["m"]
-    gap = written.where(F.col("page") <= last * 3 // 4).agg(F.max("page").alias("m")).first()["m"]
+    last = files.agg(F.max("page").alias("m")).first()["m"]
+    gap = files.where(F.col("page") <= last * 3 // 4).agg(F.max("page").alias("m")).first()["m"]
     if gap is not None:
         spark.createDataFrame([('{"result":{"records":[]}}',)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/page={gap}")
     back = RD.read_record_pages(spark, path, "1996-01", "2000-12")

@@ -93,3 +93,21 @@ def test_record_pages_make_the_sales_once(spark, monkeypatch):
     assert got == want and read.value == len(rows)
     monkeypatch.setattr(Q.T, "transactions", lambda *a, **k: df.limit(0))
     assert Q.q_record_pages(spark, "unused").count() == 0
+
+
+def _bytes(folder):
+    return sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(folder) for f in files)
+
+
+def test_record_pages_are_compressed(spark, monkeypatch):
+    from appraise import session
+    from appraise.plans import q_sources as Q
+
+    sf = "/root/testdata/sf0.001"
+    paths = []
+    scratch = session.scratch_path
+    monkeypatch.setattr(Q, "scratch_path", lambda s, name: paths.append(scratch(s, name)) or paths[-1])
+    got = Q.q_record_pages(spark, sf).count()
+    assert got > 0 and len(paths) == 1
+    records = spark.read.text(paths[0]).selectExpr("sum(octet_length(value)) AS n").first()["n"]
+    assert _bytes(paths[0]) < records / 2
