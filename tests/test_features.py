@@ -189,3 +189,24 @@ def test_enriched_by_building_gives_the_same_rows(spark):
     a, b = enriched_sales(spark, SF_SMALL), enriched_by_building(spark, SF_SMALL)
     assert a.schema == b.schema
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_written_frames_leave_no_shuffle_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from appraise.session import CLEANUP_CONF, written
+
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    before = {str(i) for i in range(10_000) if tracker.containsShuffle(i)}
+    out = written(spark.range(2000).repartition(3).groupBy((F.col("id") % 700).alias("k")).count())
+    assert out.count() == 700 and {f for f in out.inputFiles() if f.endswith(".zstd.parquet")}
+    made = {str(i) for i in range(10_000) if tracker.containsShuffle(i)} - before
+    assert len(made) <= 1  # of the count only
+    assert spark.conf.get(CLEANUP_CONF, None) in (None, "false")
+
+
+def test_orders_first_gives_the_same_sales(spark):
+    from appraise.sources import tables as T
+
+    a, b = T.transactions(spark, SF_SMALL), T.transactions(spark, SF_SMALL, orders_first=True)
+    assert a.schema == b.schema and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
