@@ -210,3 +210,14 @@ def test_orders_first_gives_the_same_sales(spark):
 
     a, b = T.transactions(spark, SF_SMALL), T.transactions(spark, SF_SMALL, orders_first=True)
     assert a.schema == b.schema and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_large_tables_take_the_written_frame(spark, monkeypatch):
+    """The same rows without the columns that name a sale."""
+    from appraise.plans import q_models as Q
+
+    small = Q._frame_of_size(spark, SF_SMALL)
+    monkeypatch.setattr(Q, "WRITTEN", 0)
+    large = Q._frame_of_size(spark, SF_SMALL)
+    assert [c for c in small.columns if c not in large.columns] == ["block", "street_name", "tx_id"]
+    assert sorted(map(str, small.select(large.columns).collect())) == sorted(map(str, large.collect()))
